@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajecta.llm import percentiles, runs
+from trajecta.llm import bpe, duplicates, percentiles, runs
 from trajecta.session import materialize
 
 
@@ -17,6 +17,33 @@ _ONCE = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY episode_inde
                  FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL) WHERE rn = 1"""
 
 
+# 2: duplicates hidden by formatting
+
+RECORDS = (("tasks", "task_index", ["task"]), ("annotations", "annotation_id", ["language_instruction", "language_instruction_2", "language_instruction_3"]))
+
+
+def _both(f, spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (f(table(spark, sf_dir, t), i, slots).select(F.lit(t).alias("table_name"), "*") for t, i, slots in RECORDS)
+    return a.unionByName(b)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _both(duplicates.copies, spark, sf_dir)
+
+
+def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per set of same records, with its number of copies."""
+    return _both(duplicates.collapsed, spark, sf_dir).drop("canonical")
+
+
+_CANONICAL = "lower(upper(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')))"
+_P2_KEYS = f"""
+k AS (SELECT DISTINCT 'tasks' AS table_name, task_index AS id, {_CANONICAL.format("task")} AS c FROM tasks
+      UNION SELECT DISTINCT 'annotations', annotation_id, array_to_string(list_sort(list_filter([{", ".join(_CANONICAL.format(f"coalesce(language_instruction{x}, '')") for x in ("", "_2", "_3"))}], lambda x: x <> '')), chr(1)) FROM annotations),
+g AS (SELECT *, min(id) OVER (PARTITION BY table_name, c) AS keep_id FROM k WHERE c <> '' AND id IS NOT NULL)"""
+P2_SQL = f"WITH {_P2_KEYS} SELECT DISTINCT table_name, keep_id, id AS copy_id FROM g WHERE id <> keep_id"
+
+
 # 3: repeated events
 
 
@@ -79,9 +106,16 @@ FROM s GROUP BY dataset_path, feature_key, dim
 """
 
 
+# 8: tokens
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_ids(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"p3_found": p3_found, "p3_runs": lambda s, d: p3_runs(s, d).withColumn("duration", F.round("duration", 4)), "p5_percentiles": p5_percentiles, "p5_percentiles_by_day": p5_percentiles_by_day}
+    return {"p2_found": p2_found, "p2_records": p2_records, "p8_ids": p8_ids, "p3_found": p3_found, "p3_runs": lambda s, d: p3_runs(s, d).withColumn("duration", F.round("duration", 4)), "p5_percentiles": p5_percentiles, "p5_percentiles_by_day": p5_percentiles_by_day}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": f"SELECT episode_index, first_frame, last_frame FROM ({P3_SQL})", "p3_runs": P3_SQL, "p5_percentiles": _p5_sql(), "p5_percentiles_by_day": _p5_sql()}
+    return {"p2_found": P2_SQL, "p3_found": f"SELECT episode_index, first_frame, last_frame FROM ({P3_SQL})", "p3_runs": P3_SQL, "p5_percentiles": _p5_sql(), "p5_percentiles_by_day": _p5_sql()}
