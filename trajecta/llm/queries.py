@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajecta.llm import bpe, duplicates, percentiles, runs
+from trajecta.llm import bpe, containers, duplicates, mixing, percentiles, runs, spam, splits
 from trajecta.session import materialize
 
 
@@ -113,8 +113,52 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_ids(table(spark, sf_dir, "documents"))
 
 
+# 6: splits
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.groups(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "tasks"))
+
+
+def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.splits(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "tasks"))
+
+
+# 7: mixtures
+
+
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "mixture_spec"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "mixture_spec"))
+
+
+# 9: containers
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containers.containers(table(spark, sf_dir, "documents"))
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containers.fill_report(p9_containers(spark, sf_dir))
+
+
+# 10: spam pages
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.flagged(table(spark, sf_dir, "documents"))
+
+
+def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.pages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_records": p2_records, "p8_ids": p8_ids, "p3_found": p3_found, "p3_runs": lambda s, d: p3_runs(s, d).withColumn("duration", F.round("duration", 4)), "p5_percentiles": p5_percentiles, "p5_percentiles_by_day": p5_percentiles_by_day}
+    return {"p6_found": p6_found, "p6_splits": p6_splits, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_pages": p10_pages, "p2_found": p2_found, "p2_records": p2_records, "p8_ids": p8_ids, "p3_found": p3_found, "p3_runs": lambda s, d: p3_runs(s, d).withColumn("duration", F.round("duration", 4)), "p5_percentiles": p5_percentiles, "p5_percentiles_by_day": p5_percentiles_by_day}
 
 
 def oracle_sql() -> dict[str, str]:
