@@ -39,14 +39,23 @@ def _size(n: int) -> str:
     return next(k for k, most in (("0", 0), ("few", 5), ("line", 24), ("long", 10**9)) if n <= most)
 
 
+_space = str.maketrans("", "", " \t\r\n\u00a0\u3000")
+_letters = re.compile(r"[\W\d_]+")
+_digits = re.compile(r"\D+")
+SEPARATORS = "|;,/•·、；，\t#[("
+#: Words found again must be this part of a segment's words for it to reach REPEATED: two places of a pair cover four words.
+AGAIN = REPEATED / 2
+
+
 def _dense(t: str) -> int:
     """Characters other than white space."""
-    return len(t) - sum(map(t.count, " \t\r\n 　"))
+    return len(t.translate(_space)) if not t.isascii() else len(t) - t.count(" ") - t.count("\t") - t.count("\r")
 
 
 def repeats(words: list[str]) -> float:
     """Part of the words that lie in pairs of neighbours found at least twice, or are found three times."""
-    if len(words) < LEAST_WORDS:
+    n = len(words)
+    if n < LEAST_WORDS or n - len(set(words)) < AGAIN * n:
         return 0.0
     pairs = Counter(zip(words, words[1:]))
     single = Counter(w for w in words if len(w) > 3 or len(w) > 1 and ord(w[0]) > 0x2E80)
@@ -54,47 +63,46 @@ def repeats(words: list[str]) -> float:
     for i, p in enumerate(zip(words, words[1:])):
         if pairs[p] > 1 and max(map(len, p)) > 2 - (p[0][0] > "\u2e80"):
             hit[i] = hit[i + 1] = True
-    return sum(hit) / len(words)
+    return sum(hit) / n
+
+
+def _capitals(t: str) -> str:
+    return "upper" if t.isupper() else "title" if t.istitle() else "lower" if t[1:].islower() else "mixed"
 
 
 def segments(text: str) -> Iterator[tuple[str, bool, int]]:
     """(shape, whether it is a sentence, characters) of each segment."""
     for line in text.splitlines():
-        if not line.strip():
+        if not line or line.isspace():
             continue
-        links = _link.findall(line)
-        rest = _link.sub(" ", line) if links else line
-        words = _word.findall(rest)
-        n = _dense(line)
-        caps = "upper" if rest.isupper() else "title" if rest.istitle() else "mixed" if any(w[:1].isupper() for w in words[1:]) else "lower"
-        if links:
-            if len(words) <= 6 * len(links):
-                yield f"links/{_size(len(links))}/{caps}", False, n
+        rest = line
+        if ("/" in line or "www." in line or "](" in line) and (links := _link.findall(line)):
+            rest = _link.sub(" ", line)
+            if len(_word.findall(rest)) <= 6 * len(links):
+                yield f"links/{_size(len(links))}/{_capitals(rest)}", False, _dense(line)
                 continue
-            inside = sum(map(len, links))
-            yield f"links/{_size(len(links))}/in text", False, inside
-        letters = sum(map(str.isalpha, rest))
-        digits = sum(map(str.isdigit, rest))
-        if not _count.search(rest) and (_machine.search(rest) or digits > 0.45 * (letters + digits)):
-            yield f"machine/{_size(len(words))}", True, _dense(rest)
+            yield f"links/{_size(len(links))}/in text", False, sum(map(len, links))
+        counted = "(" in rest and bool(_count.search(rest))
+        if not counted and (_machine.search(rest) or len(d := _digits.sub("", rest)) > 0.45 * (len(_letters.sub("", rest)) + len(d))):
+            yield "machine", True, _dense(rest)
             continue
         for part in _end.split(_bullet.sub("", rest)):
             n = _dense(part)
             if not n:
                 continue
-            w = [x.lower() for x in _word.findall(part)]
-            fields = [f for f in _field.split(part.strip(" #[]|")) if f.strip()]
-            closed = bool(_closed.search(part)) and not part.rstrip().endswith("...")
-            k = len(fields)
-            mean = len(w) / max(k, 1)
-            strong = "|" in part or "#" in part or "[" in part or bool(_count.search(part)) or (";" in part and "; " not in part) or " / " in part
-            listed = (k >= 3 and strong or k >= 5) and mean <= 5.5 and not closed
-            if listed:
-                yield f"list/{_size(k)}/{caps}", False, n
-            elif repeats(w) >= REPEATED:
-                yield f"keywords/{_size(len(w))}/{caps}", False, n
+            w = _word.findall(part.lower())
+            closed = bool(_closed.search(part[-8:])) and not part.rstrip().endswith("...")
+            k = 1
+            if not closed and (sum(map(part.count, SEPARATORS)) > 1 or " - " in part or "<br" in part):
+                k = sum(not f.isspace() and f != "" for f in _field.split(part.strip(" #[]|")))
+                strong = "|" in part or "#" in part or "[" in part or counted or (";" in part and "; " not in part) or " / " in part
+                if (k >= 3 and strong or k >= 5) and len(w) <= 5.5 * k:
+                    yield f"list/{_size(k)}/{_capitals(part)}", False, n
+                    continue
+            if repeats(w) >= REPEATED:
+                yield f"keywords/{_size(len(w))}/{_capitals(part)}", False, n
             elif len(w) <= 5 and not closed:
-                yield f"label/{_size(len(w))}/{caps}", False, n
+                yield f"label/{_size(len(w))}/{_capitals(part)}", False, n
             else:
                 yield f"sentence/{_size(len(w))}/{_size(k)}", True, n
 
