@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajecta.functions.packing import CHUNK, Block, bucket_count, is_null, packed, per_bucket
-from trajecta.session import scratch
+from trajecta.session import materialize, scratch
 
 #: The readings judged, in the order of the packed columns.
 FIELDS = (("joint_position", 7), ("joint_velocity", 7), ("gripper_position", 1))
@@ -37,6 +37,8 @@ MOVE = 0.002
 FACTOR, QUANTILE, GRIPPER_PART = 6.0, 0.95, 0.1
 SEASONS, SEASON_HOURS = 4, 6
 CHANGE_WIDTH, EXCURSION_WIDTH = np.log(1.05), np.log(1.1)
+#: Datasets whose limits are broadcast (about 100 bytes each); with more the join is left to the optimizer.
+BROADCAST_DATASETS = 100_000
 PEAK_SHARE, RISK = 0.02, 1e-4
 ZERO = -(2**31)
 NO_SOURCE = "\0"
@@ -395,6 +397,9 @@ def implausible_readings(frames: DataFrame, datasets: DataFrame, modality: DataF
     key = F.col("feature_key")
     limits = datasets.select("dataset_path", "embodiment_tag").join(modality.where(key.isin([f for f, _ in FIELDS])), "embodiment_tag")
     limits = limits.groupBy("dataset_path").agg(*[f(F.when(key == name, F.col(side))).alias(f"{side}{k}") for k, (name, _) in enumerate(FIELDS) for side, f in (("range_min", F.max), ("range_max", F.min))])
+    limits = materialize(limits, "p1-limits")
+    if limits.count() <= BROADCAST_DATASETS:
+        limits = F.broadcast(limits)
     rows = frames.select("episode_index", "frame_index", "robot_id", "dataset_path", "ingested_at", "recorded_at", *[n for n, _ in FIELDS], "cartesian_position")
     rows = rows.join(limits, "dataset_path", "left")
     if long:
