@@ -21,3 +21,22 @@ def hashed_prefix_sum(df: DataFrame, by: list[str], ident: str, value: Column, s
     inner = Window.partitionBy(*by, "_part").orderBy("_h", ident).rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("_in", F.coalesce(F.sum("_v").over(inner), F.lit(0))).join(base, [*by, "_part"])
     return x.withColumn(out, F.col("_base") + F.col("_in")).drop("_h", "_part", "_v", "_base", "_in")
+
+
+def running(df: DataFrame, bucket: Column, order: list, outs: dict[str, tuple[str, str]], upto_row: bool = True) -> DataFrame:
+    """Running totals over the whole table without a one-task sort of it.
+
+    bucket must not fall along order; only one total per bucket goes through a global window, rows are sorted within buckets.
+    outs: name -> (column, "sum" | "min"); upto_row includes the row itself (else sums of the rows before, 0 or null at the first).
+    """
+    fold = {"sum": F.sum, "min": F.min}
+    x = df.withColumn("_b", bucket)
+    totals = x.groupBy("_b").agg(*[fold[f](c).alias(f"_t{k}") for k, (c, f) in enumerate(outs.values())])
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select("_b", *[fold[f](f"_t{k}").over(before).alias(f"_p{k}") for k, (_, f) in enumerate(outs.values())])
+    inner = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if upto_row else -1)
+    x = x.join(base, "_b")
+    for k, (name, (c, f)) in enumerate(outs.items()):
+        own = fold[f](c).over(inner)
+        x = x.withColumn(name, F.coalesce(F.col(f"_p{k}"), F.lit(0)) + F.coalesce(own, F.lit(0)) if f == "sum" else F.least(F.col(f"_p{k}"), own))
+    return x.drop("_b", *[f"_p{k}" for k in range(len(outs))])
