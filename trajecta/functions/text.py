@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Markers that flag a text's origin.
 MARKERS = {"lapa": "<LAPA>", "dream": "<DREAM>", "cotrain": "<COTRAIN>"}
@@ -103,7 +104,7 @@ def uniform(x: Column) -> Column:
     return F.conv(F.substring(F.sha2(x.cast("string"), 256), 1, 13), 16, 10).cast("double") / float(16**13)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_unescaped(x: pd.Series) -> pd.Series:
     """HTML entities resolved twice, ends stripped."""
     return x.map(lambda t: None if t is None else html.unescape(html.unescape(t)).strip())

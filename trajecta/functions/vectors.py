@@ -80,7 +80,11 @@ def multi_index(flat: Column, shape: list[int]) -> list[Column]:
 
 def multi_one_hot(values: list[Column], classes: list[int]) -> Column:
     """Each value's indicator vector, end to end."""
-    return F.concat(*[F.transform(F.sequence(F.lit(0), F.lit(c - 1)), lambda i, v=v: (i == v).cast("int")) for v, c in zip(values, classes)])
+
+    def one(v: Column, c: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(c - 1)), lambda i: (i == v).cast("int"))
+
+    return F.concat(*[one(v, c) for v, c in zip(values, classes)])
 
 
 def rows_of(**arrays: Column) -> Column:

@@ -95,7 +95,7 @@ def absolute(relative: Column, state: Column) -> Column:
     return F.transform(relative, lambda row: F.zip_with(row, state, lambda a, b: a + b))
 
 
-def trailing_mean(df: DataFrame, by: list[str], order: str, value: str, rows: int = 10) -> Column:
+def trailing_mean(by: list[str], order: str, value: str, rows: int = 10) -> Column:
     """Mean of the last rows values, the row's own included; fewer at the start."""
     return F.avg(value).over(Window.partitionBy(*by).orderBy(order).rowsBetween(1 - rows, 0))
 
