@@ -20,7 +20,8 @@ def formalized(x: Column) -> Column:
 
 
 def single_spaced(x: Column) -> Column:
-    return F.trim(F.regexp_replace(x, r"\s+", " "))
+    """Runs of Unicode white space as one space, none at the ends."""
+    return F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
 
 
 def without_prefix(x: Column, mark: str = ": ") -> Column:
@@ -35,7 +36,7 @@ def marker_flags(x: Column) -> dict[str, Column]:
 def without_markers(x: Column) -> Column:
     for mark in MARKERS.values():
         x = F.replace(x, F.lit(mark), F.lit(""))
-    return F.trim(x)
+    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
 
 
 def chosen(texts: Column, key: Column, default: str, seed: int = 0, dropout: float = 0.0) -> Column:

@@ -74,14 +74,16 @@ def video_frames(anchors: DataFrame, steps_length: DataFrame, episode: str = "ep
     offsets = F.sequence(F.lit(0), F.lit(CHUNK - STRIDE), F.lit(STRIDE))
     kept = F.when(~F.col("_last"), offsets).when(F.col("_more"), F.concat(offsets, F.array(F.lit(CHUNK)))).otherwise(F.array(F.lit(0)))
     x = x.where(F.col("_more") | (F.col("anchors") > 1))
-    return x.select(episode, "first", (F.col("anchor") + F.explode(kept)).alias("frame_index"))
+    x = x.select(episode, "first", "anchor", F.explode(kept).alias("_offset"))
+    return x.select(episode, "first", (F.col("anchor") + F.col("_offset")).alias("frame_index"))
 
 
 def action_anchors(anchors: DataFrame, steps_length: DataFrame, episode: str = "episode_index", length: str = "length") -> DataFrame:
     """The anchors of states and 24-row action chunks: those of the video, less the last where the video was cut."""
     x = anchors.join(steps_length.select(episode, length).distinct(), episode)
     ends = F.max("anchor").over(Window.partitionBy(episode, "first"))
-    return x.where((ends + CHUNK < F.col(length)) | (F.col("number") < F.col("anchors") - 1)).select(episode, "first", "anchor", "number")
+    x = x.withColumn("_end", ends)
+    return x.where((F.col("_end") + CHUNK < F.col(length)) | (F.col("number") < F.col("anchors") - 1)).select(episode, "first", "anchor", "number")
 
 
 def relative_to_first(chunks: DataFrame, value: str, state: str, by: list[str], position: str) -> DataFrame:
