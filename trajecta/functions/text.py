@@ -112,7 +112,7 @@ def html_unescaped(x: pd.Series) -> pd.Series:
 
 
 def white_space_tokens(x: Column, width: int) -> tuple[Column, Column]:
-    """Words padded with empty strings to width, and the mask of real ones."""
-    words = F.filter(F.split(F.coalesce(x, F.lit("")), r"\s+"), lambda w: w != "")
-    n = F.least(F.size(words), F.lit(width))
-    return F.slice(F.concat(words, F.array_repeat(F.lit(""), width)), 1, width), F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: i < n)
+    """The first width words, padded with empty strings, and the mask of real ones. The text is split no further than that."""
+    words = F.filter(F.slice(F.split(F.regexp_replace(F.coalesce(x, F.lit("")), r"^\s+", ""), r"\s+", width + 1), 1, width), lambda w: w != "")
+    tokens = F.slice(F.concat(words, F.array_repeat(F.lit(""), width)), 1, width)
+    return tokens, F.transform(tokens, lambda w: w != "")

@@ -32,22 +32,30 @@ def _done(spark: SparkSession, out: str, before: int) -> list[int]:
     return sorted(i for n in names if n.startswith(f"{BATCH}=") and (i := int(n.split("=")[1])) < before)
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """The name, longer if a column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def _write_batch(spark: SparkSession, files: list[tuple[str, int]], schema, out: str, batch_id: int, target_bytes: int, keys: tuple[str, ...]) -> None:
     paths, total = [f for f, _ in files], sum(n for _, n in files)
-    rows = spark.read.schema(schema).parquet(*paths).select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    known = rows.select(*keys, F.lit(1).alias("_new"), "_file", "_row").dropna(subset=list(keys))
+    file, row, new, keep, n = (_free(x, schema.names) for x in ("_file", "_row", "_new", "_keep", "_n"))
+    rows = spark.read.schema(schema).parquet(*paths).select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    known = rows.select(*keys, F.lit(1).alias(new), file, row).dropna(subset=list(keys))
     if _done(spark, out, batch_id):
         ends = known.agg(F.min(keys[0]), F.max(keys[0])).head()
         earlier = spark.read.schema(schema).parquet(*[f"{out}/{BATCH}={i}" for i in _done(spark, out, batch_id)])
         earlier = earlier.where(F.col(keys[0]).between(ends[0], ends[1]))
-        known = known.unionByName(earlier.select(*keys, F.lit(0).alias("_new"), F.lit(0).cast("long").alias("_file"), F.lit(0).cast("long").alias("_row")))
-    copied = known.groupBy(*keys).agg(F.min(F.struct("_new", "_file", "_row")).alias("_keep"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+        known = known.unionByName(earlier.select(*keys, F.lit(0).alias(new), F.lit(0).cast("long").alias(file), F.lit(0).cast("long").alias(row)))
+    copied = known.groupBy(*keys).agg(F.min(F.struct(new, file, row)).alias(keep), F.count("*").alias(n)).where(F.col(n) > 1).drop(n)
     at = f"{out}-copies/{BATCH}={batch_id}"
     copied.write.mode("overwrite").parquet(at)
     copied = spark.read.schema(copied.schema).parquet(at)
     if copied.count() <= BROADCAST_KEYS:
         copied = F.broadcast(copied)
-    kept = rows.join(copied, list(keys), "left").where(F.col("_keep").isNull() | (F.col("_keep") == F.struct(F.lit(1).alias("_new"), "_file", "_row")))
+    kept = rows.join(copied, list(keys), "left").where(F.col(keep).isNull() | (F.col(keep) == F.struct(F.lit(1).alias(new), file, row)))
     kept.select(*schema.names).coalesce(max(1, math.ceil(total / target_bytes))).write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
 
 
