@@ -20,8 +20,9 @@ BETWEEN = "\u0001"
 
 
 def canonical(text: Column) -> Column:
-    """Letters and digits without case; upper before lower also levels letters with several small forms."""
-    return F.lower(F.upper(F.regexp_replace(text, OTHER, "")))
+    """Letters and digits without case; upper before lower also levels letters with several small forms (the optimizer would
+    drop an upper directly within lower)."""
+    return F.lower(F.regexp_replace(F.upper(text), OTHER, ""))
 
 
 def canonical_record(slots: list[Column]) -> Column:
