@@ -349,26 +349,27 @@ def _flag_borders(chunk: int):
 
 def _tail_cutoffs(excursions: DataFrame) -> DataFrame:
     """Per source and column: generalized Pareto cutoff of risk RISK over the seasonal residuals, and the seasons' levels."""
+    # counts are summed before they are shuffled; all windows then lie within (source, col) and share one exchange
     x = excursions.groupBy("source", "col", "season", "lb").agg(F.sum("cnt").alias("cnt"))
     mid = F.when(F.col("lb") == ZERO, 0.0).otherwise(F.exp((F.col("lb") + 0.5) * float(EXCURSION_WIDTH)))
-    level = x.groupBy("source", "col", "season").agg((F.sum(mid * F.col("cnt")) / F.sum("cnt")).alias("level"))
-    r = x.join(level, ["source", "col", "season"]).select("source", "col", "cnt", (mid - F.col("level")).alias("res"))
-    n = r.groupBy("source", "col").agg(F.sum("cnt").alias("n"))
-    top = Window.partitionBy("source", "col").orderBy(F.desc("res")).rangeBetween(Window.unboundedPreceding, 0)
-    peaks = r.withColumn("above", F.sum("cnt").over(top)).join(n, ["source", "col"])
-    u = peaks.where(F.col("above") >= PEAK_SHARE * F.col("n")).groupBy("source", "col").agg(F.max("res").alias("u"))
-    y = peaks.join(u, ["source", "col"]).where("res > u").withColumn("y", F.col("res") - F.col("u"))
-    fit = y.groupBy("source", "col").agg(
-        F.sum("cnt").alias("nu"), F.max("n").alias("n"), F.max("u").alias("u"), (F.sum(F.col("y") * F.col("cnt")) / F.sum("cnt")).alias("m"), (F.sum(F.col("y") * F.col("y") * F.col("cnt")) / F.sum("cnt")).alias("m2")
-    )
+    group = Window.partitionBy("source", "col")
+    season = Window.partitionBy("source", "col", "season")
+    x = x.withColumn("level", F.sum(mid * F.col("cnt")).over(season) / F.sum("cnt").over(season)).withColumn("res", mid - F.col("level"))
+    top = group.orderBy(F.desc("res")).rangeBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("n", F.sum("cnt").over(group)).withColumn("above", F.sum("cnt").over(top))
+    x = x.withColumn("u", F.max(F.when(F.col("above") >= PEAK_SHARE * F.col("n"), F.col("res"))).over(group))
+    over = F.col("res") > F.col("u")
+    y, w = F.when(over, F.col("res") - F.col("u")), F.when(over, F.col("cnt"))
+    fit = x.groupBy("source", "col").agg(
+        F.sum(w).alias("nu"), F.max("n").alias("n"), F.max("u").alias("u"), (F.sum(y * w) / F.sum(w)).alias("m"), (F.sum(y * y * w) / F.sum(w)).alias("m2"),
+        F.array(*[F.max(F.when(F.col("season") == s, F.col("level"))) for s in range(SEASONS)]).alias("level"),
+    )
     s2 = F.greatest(F.col("m2") - F.col("m") * F.col("m"), F.lit(1e-18))
     ratio = F.col("m") * F.col("m") / s2
     fit = fit.withColumn("xi", F.greatest(F.lit(-0.5), F.least(F.lit(0.5), 0.5 * (1 - ratio)))).withColumn("sigma", F.col("m") * (1 - F.col("xi")))
     part = F.lit(RISK) * F.col("n") / F.col("nu")
     grown = F.when(F.abs("xi") < 1e-6, -F.log(part)).otherwise((F.pow(part, -F.col("xi")) - 1) / F.col("xi"))
-    cut = fit.select("source", "col", (F.col("u") + F.col("sigma") * F.greatest(grown, F.lit(0.0))).alias("pot"))
-    levels = level.groupBy("source", "col").agg(F.array(*[F.max(F.when(F.col("season") == s, F.col("level"))) for s in range(SEASONS)]).alias("level"))
-    return levels.join(cut, ["source", "col"], "left")
+    return fit.select("source", "col", "level", (F.col("u") + F.col("sigma") * F.greatest(grown, F.lit(0.0))).alias("pot"))
 
 
 def _rule_cutoffs(changes: DataFrame, values) -> DataFrame:
@@ -379,8 +380,9 @@ def _rule_cutoffs(changes: DataFrame, values) -> DataFrame:
     rank = F.lit(QUANTILE) * (F.col("n") - 1)
     x = x.withColumn("low", F.floor(rank)).withColumn("high", F.ceil(rank)).withColumn("part", rank - F.floor(rank)).withColumn("base", F.col("upto") - F.col("cnt"))
     hit = x.where("(low >= base AND low < upto) OR (high >= base AND high < upto)")
+    hit = materialize(hit.select("source", "col", "lb", "base", "low", "high", "part", "moves"), "p1-ranks")
     v = values(hit.select("source", "col", "lb")).groupBy("source", "col", "lb", "value").agg(F.sum("cnt").alias("cnt"))
-    v = v.join(hit.select("source", "col", "lb", "base", "low", "high", "part", "moves"), ["source", "col", "lb"])
+    v = v.join(hit, ["source", "col", "lb"])
     v = v.withColumn("to", F.col("base") + F.sum("cnt").over(Window.partitionBy("source", "col", "lb").orderBy("value"))).withColumn("from", F.col("to") - F.col("cnt"))
     at = lambda k: F.max(F.when((F.col(k) >= F.col("from")) & (F.col(k) < F.col("to")), F.col("value")))
     q = v.groupBy("source", "col").agg(at("low").alias("a"), at("high").alias("b"), F.max("part").alias("part"), F.max("moves").alias("moves"))
