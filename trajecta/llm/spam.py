@@ -39,9 +39,11 @@ def _size(n: int) -> str:
     return next(k for k, most in (("0", 0), ("few", 5), ("line", 24), ("long", 10**9)) if n <= most)
 
 
-_space = str.maketrans("", "", " \t\r\n\u00a0\u3000")
+SPACES = " \t\r\n\u00a0\u3000"
 _letters = re.compile(r"[\W\d_]+")
-_digits = re.compile(r"\D+")
+DIGITS = "0123456789"
+#: A line of which digits are this part, and nearly half of letters and digits together, is a machine's.
+DIGIT_PART = 1 / 8
 SEPARATORS = "|;,/•·、；，\t#[("
 #: Words found again must be this part of a segment's words for it to reach REPEATED: two places of a pair cover four words.
 AGAIN = REPEATED / 2
@@ -49,7 +51,7 @@ AGAIN = REPEATED / 2
 
 def _dense(t: str) -> int:
     """Characters other than white space."""
-    return len(t.translate(_space)) if not t.isascii() else len(t) - t.count(" ") - t.count("\t") - t.count("\r")
+    return len(t) - sum(map(t.count, " \t\r" if t.isascii() else SPACES))
 
 
 def repeats(words: list[str]) -> float:
@@ -83,10 +85,10 @@ def segments(text: str) -> Iterator[tuple[str, bool, int]]:
                 continue
             yield f"links/{_size(len(links))}/in text", False, sum(map(len, links))
         counted = "(" in rest and bool(_count.search(rest))
-        if not counted and (_machine.search(rest) or len(d := _digits.sub("", rest)) > 0.45 * (len(_letters.sub("", rest)) + len(d))):
+        if not counted and (_machine.search(rest) or (d := sum(map(rest.count, DIGITS))) > DIGIT_PART * len(rest) and d > 0.45 * (len(_letters.sub("", rest)) + d)):
             yield "machine", True, _dense(rest)
             continue
-        for part in _end.split(_bullet.sub("", rest)):
+        for part in _end.split(rest[m.end() :] if (m := _bullet.match(rest)) else rest):
             n = _dense(part)
             if not n:
                 continue
