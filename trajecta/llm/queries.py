@@ -120,6 +120,17 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.groups(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "tasks"))
 
 
+P6_SQL = f"""
+WITH RECURSIVE k AS (SELECT {_CANONICAL.format("task")} AS c, min(task_index) AS id FROM tasks GROUP BY 1),
+l AS (SELECT DISTINCT episode_index, {_CANONICAL.format("t")} AS c FROM (SELECT episode_index, unnest(tasks) AS t FROM episodes WHERE episode_index IS NOT NULL)
+      WHERE {_CANONICAL.format("t")} NOT IN ('', 'notprovided')),
+e AS (SELECT DISTINCT a.c AS x, b.c AS y FROM l a JOIN l b USING (episode_index)),
+reach AS (SELECT x, y FROM e UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x),
+g AS (SELECT x, min(id) AS group_task_index FROM reach LEFT JOIN k ON k.c = reach.y GROUP BY 1)
+SELECT DISTINCT episode_index, group_task_index FROM l JOIN g ON g.x = l.c
+"""
+
+
 def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.splits(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "tasks"))
 
@@ -162,4 +173,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_SQL, "p3_found": f"SELECT episode_index, first_frame, last_frame FROM ({P3_SQL})", "p3_runs": P3_SQL, "p5_percentiles": _p5_sql(), "p5_percentiles_by_day": _p5_sql()}
+    return {"p2_found": P2_SQL, "p6_found": P6_SQL, "p3_found": f"SELECT episode_index, first_frame, last_frame FROM ({P3_SQL})", "p3_runs": P3_SQL, "p5_percentiles": _p5_sql(), "p5_percentiles_by_day": _p5_sql()}
