@@ -149,6 +149,20 @@ def row_location(spark, d):
     return joins.located(table(spark, d, "events").select("event_id"), s, "event_id").select("event_id", "episode_index", "local_row")
 
 
+@query("prediction_join", f"WITH {STEPS}, p AS (SELECT event_id, avg(value) OVER (PARTITION BY episode_index ORDER BY frame_index ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS prediction FROM steps) SELECT label, count(*) AS n, round(avg((prediction - value) * (prediction - value)), 4) + 0.0 AS mse FROM steps JOIN p USING (event_id) GROUP BY label")
+def prediction_join(spark, d):
+    s = steps(spark, d)
+    p = s.select("event_id", windows.trailing_mean(["episode_index"], "frame_index", "value", 4).alias("prediction"))
+    e = F.col("prediction") - F.col("value")
+    return s.join(p, "event_id").groupBy("label").agg(F.count("*").alias("n"), r(F.avg(e * e)).alias("mse"))
+
+
+@query("step_union", "SELECT event_id // 10 AS step FROM events WHERE event_type = 'click' UNION SELECT event_id // 12 FROM events WHERE event_type = 'error'")
+def step_union(spark, d):
+    e = table(spark, d, "events")
+    return e.where("event_type = 'click'").selectExpr("event_id div 10 AS step").union(e.where("event_type = 'error'").selectExpr("event_id div 12")).distinct()
+
+
 @query("dataset_union", "SELECT 'tasks' AS source, CAST(task_index AS BIGINT) AS id, task AS text, CAST(NULL AS VARCHAR) AS annotator FROM tasks UNION ALL SELECT 'annotations', annotation_id, language_instruction, annotator FROM annotations")
 def dataset_union(spark, d):
     a = table(spark, d, "tasks").select(F.lit("tasks").alias("source"), F.col("task_index").alias("id"), F.col("task").alias("text"))
