@@ -99,10 +99,10 @@ def stats_merge_by_tag(spark, d):
     return stats.merged_stats(s, by, "n_frames").select(*by, r("mean").alias("mean"), r("std").alias("std")).join(s.groupBy(*by).agg(F.count("*").alias("parts")), by)
 
 
-@query("moments_merge", "SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 4) + 0.0 AS mean, round(stddev_pop(c_acctbal), 4) + 0.0 AS std FROM customer GROUP BY 1")
+@query("moments_merge", "SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 8) + 0.0 AS mean, round(stddev_pop(c_acctbal), 4) + 0.0 AS std FROM customer GROUP BY 1")
 def moments_merge(spark, d):
     parts = stats.moments(table(spark, d, "customer"), ["c_mktsegment", "c_nationkey"], "c_acctbal")
-    return stats.merged_moments(parts, ["c_mktsegment"]).select("c_mktsegment", "n", r("mean").alias("mean"), r(F.sqrt(F.col("m2") / F.col("n"))).alias("std"))
+    return stats.merged_moments(parts, ["c_mktsegment"]).select("c_mktsegment", "n", r("mean", 8).alias("mean"), r(F.sqrt(F.col("m2") / F.col("n"))).alias("std"))
 
 
 @query("weighted_meter", "SELECT l_returnflag, round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4) + 0.0 AS mean FROM lineitem GROUP BY 1")
