@@ -110,6 +110,7 @@ def test_spam(spark):
     df = documents(spark, SPAM + FINE)
     got = {r.doc_id for r in spam.flagged(df.unionByName(df)).collect()}
     assert got == set(range(len(SPAM)))
+    assert spam.flagged(spark.createDataFrame([(None, SPAM[0]), (3, SPAM[0] * 20_000)], "doc_id bigint, text string")).collect() == [(3,)]
     assert spam.flagged(df.limit(0)).count() == 0
 
 

@@ -138,7 +138,7 @@ def test_mixture(spark):
     rows = [(k, f"data/{'abc'[min(k // 150, 2)]}", rng.choice([0, 1, 30, 100, None]), t0, "x") for k in range(330)]
     episodes = spark.createDataFrame(rows + rows[:10], "episode_index bigint, dataset_path string, length bigint, exported_at timestamp, block string")
     spec = spark.createDataFrame(
-        [("m", "data/a/", 1.0, False, 2), ("m", "data/[bx]*", 9.0, False, 2), ("m", "data/b", 0.5, True, 2), ("m", "data/c", 0.25, False, 3), ("m", "data/c/", 0.25, False, 4), ("m", "data/none", 3.0, False, 1), ("m", "data/a", None, False, 9), ("z", "data/a", 0.0, False, 1)],
+        [("m", "data/a/", 1.0, False, 2), ("m", "data/[bx]*", 9.0, False, 2), ("m", "data/b", 0.5, True, 2), ("m", "data/c", 0.25, False, 3), ("m", "data/c/", 0.25, False, 4), ("m", "data/none", 3.0, False, 1), ("m", "data/a", None, False, 9), ("z", "data/a", 0.0, False, 1), (None, "data/a", 1.0, None, 1), ("m", None, 1.0, None, None)],
         "mixture_name string, dataset_path string, dataset_weight double, distribute_weights boolean, max_repeats bigint",
     )
     spec = spec.where("dataset_path <> 'data/[bx]*'")
@@ -156,7 +156,8 @@ def test_mixture(spark):
     assert len({(r.shard, r.slot) for r in out}) == len({(r.shard, r.slot, r.dataset_path, r.block, r.repeat) for r in out})
     for r in mixing.shares(episodes, spec).collect():
         if r.mixture_name == "m":
-            assert r.n_frames == total.get(r.dataset_path, 0) and r.most_repeats <= r.max_repeats
+            assert r.n_frames == total.get(r.dataset_path, 0)
+            assert r.most_repeats <= r.max_repeats
             assert abs(r.share - r.target_share) < 0.05
             assert abs(r.target_share - {"data/a": 0.5, "data/b": 0.25, "data/c": 0.25}.get(r.dataset_path, 0)) < 1e-9
         else:

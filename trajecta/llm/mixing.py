@@ -9,7 +9,7 @@ thereby an episode) comes at most once a repeat, and slots are joined to blocks
 
 Defined cases: a trailing slash of a path is ignored, `*` is a pattern over the datasets that have episodes; a path listed twice
 has the sum of its weights and the smaller cap; null, NaN, negative and zero weights are 0; a path without data is reported with
-share 0; a null cap is 1; a spec with distribute_weights divides its weight by length among the datasets it matches, one without
+share 0, as is a null path; a spec without mixture_name is left out; a null cap is 1; a spec with distribute_weights divides its weight by length among the datasets it matches, one without
 gives it to each; episodes delivered twice count once (their last export), null or non-positive lengths hold no frames.
 """
 
@@ -124,7 +124,7 @@ def plan(episodes: DataFrame, spec: DataFrame) -> tuple[DataFrame, list[dict], d
     """Pieces (a table), resolved entries and blocks per dataset."""
     pieces = materialize(_pieces(episodes), "p7-pieces")
     sums = pieces.groupBy("dataset_path").agg(F.sum("n_frames").alias("n"), F.max("block").alias("b")).limit(CONFIGURATION_ROWS + 1).collect()
-    rows = spec.select("mixture_name", "dataset_path", "dataset_weight", "distribute_weights", "max_repeats").limit(CONFIGURATION_ROWS + 1).collect()
+    rows = spec.where("mixture_name IS NOT NULL").select("mixture_name", "dataset_path", "dataset_weight", "distribute_weights", "max_repeats").limit(CONFIGURATION_ROWS + 1).collect()
     if max(len(sums), len(rows)) > CONFIGURATION_ROWS:
         raise ValueError(f"more than {CONFIGURATION_ROWS} datasets or specs")
     return pieces, resolve(rows, {r["dataset_path"]: r["n"] for r in sums}), {r["dataset_path"]: r["b"] + 1 for r in sums}

@@ -6,7 +6,8 @@ of its characters other than white space. Sentence shapes are those of prose, an
 configurations, code), which is no spam either. A sentence that keeps repeating the same words counts as keywords.
 
 Defined cases: null, empty and blank texts are no case; each row is judged by itself and its whole text, so copies under other
-ids come out too; the same doc_id delivered twice comes out once; an empty table gives no rows; other columns are ignored.
+ids come out too; the same doc_id delivered twice comes out once; a null doc_id names no
+page; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -128,7 +129,7 @@ def page_shapes(documents: DataFrame) -> DataFrame:
                 cols = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.bool_(), pa.int64()))], names=["doc_id", "shape", "sentence", "chars"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, SHAPES)
+    return documents.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, SHAPES)
 
 
 def pages(documents: DataFrame) -> DataFrame:
