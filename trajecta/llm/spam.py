@@ -20,19 +20,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHARE = 0.5
-#: A segment repeats itself when so much of it is word pairs that come at least twice, or one word three times.
-REPEATED = 0.3
+#: A segment repeats itself when so much of it is word pairs that come at least twice, or one word three times; where nothing
+#: comes three times, it takes MOSTLY, since a sentence may well repeat a phrase once.
+REPEATED, MOSTLY = 0.3, 0.7
+#: Segments without commas or digits, taken together, are shuffled keywords when they have at least LEAST_MIXED words, few of them
+#: different, and those in ever new order: prose that repeats itself repeats its order too.
+LEAST_MIXED, DIFFERENT, ORDERS = 20, 0.35, 1.8
+#: A question of so few words stays with its answer.
+SHORT_QUESTION = 6
 LEAST_WORDS = 6
 LINK = r"<a\s[^>]*>.*?</a>|!?\[[^\]\n]*\]\([^)\s]*\)|https?://[^\s<>\"|]+|(?<![\w@.])(?:[\w-]+\.)+[a-z]{2,10}/[^\s<>\"|]*|(?<!\w)www\.[^\s<>\"|]+"
 SHAPES = "doc_id bigint, shape string, sentence boolean, chars bigint"
 
 _link = re.compile(LINK, re.IGNORECASE)
 _word = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
-_end = re.compile(r"(?<=[.!…])[\"')\]]*\s+|(?<=[。！])")  # a question stays with its answer
+_end = re.compile(r"(?<=[.!?…])[\"')\]]*\s+|(?<=[。！？])")
 _closed = re.compile(r"[.!?。！？…][\"')\]]*\s*$")
 _field = re.compile(r"\s*(?:[|;,/•·、；，\t]|\s[-–—>]+\s|\(\d+\)|\]\s*\[|(?<!\w)#(?=\w)|<br\s*/?>)\s*")
 _machine = re.compile(r"[{}=]|\w\(\w*\)?|\w\[\w|\"\s*:|^\s{4,}\S|^\t|^#\s|^\s*[\w.]+:\s*$|^\s*\W+\s*$|^\s*[\w.-]+\s*:\s*[\w.\[\]-]+\s*$")
 _count = re.compile(r"\(\d+\)")
+_inner = re.compile(r"[\d,;:()，；：、]")
 _bullet = re.compile(r"^\s*(?:[-*•☐☑]|\d+[.)]|Step \d+:)\s+")
 
 
@@ -56,25 +63,65 @@ def _dense(t: str) -> int:
 
 
 def repeats(words: list[str]) -> float:
-    """Part of the words that lie in pairs of neighbours found at least twice, or are found three times."""
+    """Part of the words that lie in pairs of neighbours found at least twice, or are found three times; 0 for less than MOSTLY
+    without anything found three times."""
     n = len(words)
     if n < LEAST_WORDS or n - len(set(words)) < AGAIN * n:
         return 0.0
     pairs = Counter(zip(words, words[1:]))
     single = Counter(w for w in words if len(w) > 3 or len(w) > 1 and ord(w[0]) > 0x2E80)
     hit = [single[w] > 2 for w in words]
+    often = any(hit)
     for i, p in enumerate(zip(words, words[1:])):
         if pairs[p] > 1 and max(map(len, p)) > 2 - (p[0][0] > "\u2e80"):
             hit[i] = hit[i + 1] = True
-    return sum(hit) / n
+            often = often or pairs[p] > 2
+    part = sum(hit) / n
+    return part if often or part >= MOSTLY else 0.0
 
 
 def _capitals(t: str) -> str:
     return "upper" if t.isupper() else "title" if t.istitle() else "lower" if t[1:].islower() else "mixed"
 
 
-def segments(text: str) -> Iterator[tuple[str, bool, int]]:
+def _sentences(line: str) -> list[str]:
+    parts = _end.split(line)
+    if "?" not in line and "？" not in line:
+        return parts
+    out: list[str] = []
+    for p in parts:
+        if out and out[-1].rstrip().endswith(("?", "？")) and len(_word.findall(out[-1])) <= SHORT_QUESTION:
+            out[-1] = f"{out[-1]} {p}"
+        else:
+            out.append(p)
+    return out
+
+
+def _shuffled(parts: list[list[str]]) -> bool:
+    n = sum(map(len, parts))
+    if n < LEAST_MIXED:
+        return False
+    words = {w for p in parts for w in p}
+    return len(words) <= DIFFERENT * n and len({q for p in parts for q in zip(p, p[1:])}) >= ORDERS * len(words)
+
+
+def segments(text: str) -> list[tuple[str, bool, int]]:
     """(shape, whether it is a sentence, characters) of each segment."""
+    out, plain, pool = [], [], []
+    for shape, sentence, n, words in _segments(text):
+        if words and (not sentence or not _inner.search(words[0])):
+            pool.append(words[1])
+            if sentence:
+                plain.append(len(out))
+        out.append((shape, sentence, n))
+    if plain and _shuffled(pool):
+        for k in plain:
+            out[k] = (out[k][0].replace("sentence", "keywords"), False, out[k][2])
+    return out
+
+
+def _segments(text: str) -> Iterator[tuple[str, bool, int, tuple[str, list[str]] | None]]:
+    """The same of each segment by itself, with text and words of sentences and keywords."""
     for line in text.splitlines():
         if not line or line.isspace():
             continue
@@ -82,14 +129,14 @@ def segments(text: str) -> Iterator[tuple[str, bool, int]]:
         if ("/" in line or "www." in line or "](" in line) and (links := _link.findall(line)):
             rest = _link.sub(" ", line)
             if len(_word.findall(rest)) <= 6 * len(links):
-                yield f"links/{_size(len(links))}/{_capitals(rest)}", False, _dense(line)
+                yield f"links/{_size(len(links))}/{_capitals(rest)}", False, _dense(line), None
                 continue
-            yield f"links/{_size(len(links))}/in text", False, sum(map(len, links))
+            yield f"links/{_size(len(links))}/in text", False, sum(map(len, links)), None
         counted = "(" in rest and bool(_count.search(rest))
         if not counted and (_machine.search(rest) or (d := sum(map(rest.count, DIGITS))) > DIGIT_PART * len(rest) and d > 0.45 * (len(_letters.sub("", rest)) + d)):
-            yield "machine", True, _dense(rest)
+            yield "machine", True, _dense(rest), None
             continue
-        for part in _end.split(rest[m.end() :] if (m := _bullet.match(rest)) else rest):
+        for part in _sentences(rest[m.end() :] if (m := _bullet.match(rest)) else rest):
             n = _dense(part)
             if not n:
                 continue
@@ -100,14 +147,14 @@ def segments(text: str) -> Iterator[tuple[str, bool, int]]:
                 k = sum(not f.isspace() and f != "" for f in _field.split(part.strip(" #[]|")))
                 strong = "|" in part or "#" in part or "[" in part or counted or (";" in part and "; " not in part) or " / " in part
                 if (k >= 3 and strong or k >= 5) and len(w) <= 5.5 * k:
-                    yield f"list/{_size(k)}/{_capitals(part)}", False, n
+                    yield f"list/{_size(k)}/{_capitals(part)}", False, n, None
                     continue
             if repeats(w) >= REPEATED:
-                yield f"keywords/{_size(len(w))}/{_capitals(part)}", False, n
+                yield f"keywords/{_size(len(w))}/{_capitals(part)}", False, n, (part, w)
             elif len(w) <= 5 and not closed:
-                yield f"label/{_size(len(w))}/{_capitals(part)}", False, n
+                yield f"label/{_size(len(w))}/{_capitals(part)}", False, n, None
             else:
-                yield f"sentence/{_size(len(w))}/{_size(k)}", True, n
+                yield f"sentence/{_size(len(w))}/{_size(k)}", True, n, (part, w)
 
 
 def page_shapes(documents: DataFrame) -> DataFrame:
