@@ -80,6 +80,13 @@ def test_like_brute_force(spark, seed, chunk):
     assert any(n == "joint_position" for _, _, n, _ in want)
 
 
+def test_unknown_and_null_datasets_have_no_limits(spark):
+    rows = [(None if k % 2 else "other", "r1", 1, k, 0, None, [50.0 + 0.01 * (k % 3)] * 7, None, None, 7.0, None, None, "x", None, None) for k in range(20)]
+    rows[4] = (*rows[4][:6], [float("inf")] * 6 + [None], *rows[4][7:])
+    flags = spikes.implausible_readings(frames(spark, rows), *tables(spark))
+    assert {tuple(r) for r in spikes.found(flags).collect()} == {(1, 4, "joint_position", k) for k in range(6)}
+
+
 def test_empty(spark):
     flags = spikes.implausible_readings(frames(spark, []), *tables(spark))
     assert spikes.found(flags).collect() == []
