@@ -11,11 +11,13 @@ from pyspark.sql.types import StringType
 
 #: Markers that flag a text's origin.
 MARKERS = {"lapa": "<LAPA>", "dream": "<DREAM>", "cotrain": "<COTRAIN>"}
-NOT_WORDS = r"[^\p{L}\p{N}\p{M}_\s]"
+#: White space as Python's \s has it, as a class that Java and RE2 read alike.
+SPACES = r"\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+NOT_WORDS = rf"[^\p{{L}}\p{{N}}\p{{M}}_{SPACES}]"
 
 
 def formalized(x: Column) -> Column:
-    """Lower case without anything but letters, marks, digits, underscores and white space."""
+    """Lower case without anything but letters, marks, digits, underscores and white space, all of Unicode; null stays null."""
     return F.regexp_replace(F.lower(x), NOT_WORDS, "")
 
 

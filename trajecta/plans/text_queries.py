@@ -12,17 +12,16 @@ from trajecta.sources import datasets
 from trajecta.streaming import sessions
 
 _TEXTS = "SELECT DISTINCT task_index, task FROM tasks"
-_CLASS = r"[^\p{L}\p{N}\p{M}_\s]"
+_CLASS = r"[^\p{L}\p{N}\p{M}_\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 def _tasks(spark, d):
     return table(spark, d, "tasks").select("task_index", "task").distinct()
 
 
-@query("formalize_text", f"SELECT task_index, regexp_replace(lower(task), '{_CLASS}', '', 'g') AS task FROM ({_TEXTS}) WHERE regexp_matches(task, '^[ -~]*$') AND task NOT LIKE '%' || chr(10)")
+@query("formalize_text", f"SELECT task_index, regexp_replace(lower(task), '{_CLASS}', '', 'g') AS task FROM ({_TEXTS})")
 def formalize_text(spark, d):
-    """ASCII texts only, so that both engines agree on what is white space; the function takes any text."""
-    return _tasks(spark, d).where(F.col("task").rlike(r"^[ -~]*\z")).select("task_index", text.formalized(F.col("task")).alias("task"))
+    return _tasks(spark, d).select("task_index", text.formalized(F.col("task")).alias("task"))
 
 
 #: White space of Unicode, for the SQL.
