@@ -1,5 +1,6 @@
 """Queries do the whole job: every row, dim and token, and what an earlier cut gave is still part of it."""
 
+import hashlib
 import os
 import re
 
@@ -28,3 +29,14 @@ def test_formalize_text_has_every_task(spark):
     got = [tuple(r) for r in QUERIES["formalize_text"](spark, SMALL).select("task_index", "task").collect()]
     assert len(got) == len(rows) and set(got) == want
     assert any(t and not t.isascii() for _, t in got) and any(t is None for _, t in rows) == any(t is None for _, t in got)
+
+
+@tables
+def test_tokenize_has_every_word(spark):
+    want = {}
+    for k, t in views(SMALL).execute("SELECT doc_id, text FROM documents").fetchall():
+        w = [x for x in re.split(r"[ \t\n\x0b\f\r]+", t or "") if x]
+        padded = (w + [""] * 512)[:512]
+        want[k] = (len(w), min(len(w), 512), 512, *(hashlib.md5(" ".join(x).encode()).hexdigest() for x in (w, padded)))
+    got = {r.doc_id: (r.words, r.n, r.width, r.words_md5, r.tokens_md5) for r in QUERIES["tokenize"](spark, SMALL).collect()}
+    assert got == want and max(w[0] for w in want.values()) > 512

@@ -113,8 +113,12 @@ def html_unescaped(x: pd.Series) -> pd.Series:
     return x.map(lambda t: None if t is None else html.unescape(html.unescape(t)).strip())
 
 
+def white_space_words(x: Column) -> Column:
+    """All words of a text between white space; none of a null."""
+    return F.filter(F.split(F.coalesce(x, F.lit("")), r"\s+"), lambda w: w != "")
+
+
 def white_space_tokens(x: Column, width: int) -> tuple[Column, Column]:
-    """The first width words, padded with empty strings, and the mask of real ones. The text is split no further than that."""
-    words = F.filter(F.slice(F.split(F.regexp_replace(F.coalesce(x, F.lit("")), r"^\s+", ""), r"\s+", width + 1), 1, width), lambda w: w != "")
-    tokens = F.slice(F.concat(words, F.array_repeat(F.lit(""), width)), 1, width)
+    """The first width words, padded with empty strings, and the mask of real ones."""
+    tokens = F.slice(F.concat(white_space_words(x), F.array_repeat(F.lit(""), width)), 1, width)
     return tokens, F.transform(tokens, lambda w: w != "")

@@ -133,10 +133,23 @@ def html_unescape(spark, d):
     return table(spark, d, "part").select("p_partkey", text.html_unescaped(x).alias("name"))
 
 
-@query("tokenize", "SELECT doc_id, CAST(least(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')), 32) AS BIGINT) AS n, 32 AS width FROM documents")
+#: Tokens of a text, as the reference's configuration has it.
+_WIDTH = 512
+
+
+@query(
+    "tokenize",
+    "WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w FROM documents)"
+    f" SELECT doc_id, CAST(len(w) AS BIGINT) AS words, CAST(least(len(w), {_WIDTH}) AS BIGINT) AS n, {_WIDTH} AS width, md5(array_to_string(w, ' ')) AS words_md5, md5(array_to_string(list_resize(w, {_WIDTH}, ''), ' ')) AS tokens_md5 FROM w",
+)
 def tokenize(spark, d):
-    tokens, mask = text.white_space_tokens(F.col("text"), 32)
-    return table(spark, d, "documents").select("doc_id", F.size(F.filter(mask, lambda m: m)).cast("long").alias("n"), F.size(tokens).alias("width"))
+    """Count and hash of all words, and the padded tokens (as a hash) with the length of their mask."""
+    words = text.white_space_words(F.col("text"))
+    tokens, mask = text.white_space_tokens(F.col("text"), _WIDTH)
+    joined = lambda x: F.md5(F.array_join(x, " ").cast("binary"))
+    return table(spark, d, "documents").select(
+        "doc_id", F.size(words).cast("long").alias("words"), F.size(F.filter(mask, lambda m: m)).cast("long").alias("n"), F.size(tokens).alias("width"), joined(words).alias("words_md5"), joined(tokens).alias("tokens_md5")
+    )
 
 
 # sources and sinks: what is written is what is read back
