@@ -1,6 +1,7 @@
 """Queries do the whole job: every row, dim and token, and what an earlier cut gave is still part of it."""
 
 import hashlib
+import math
 import os
 import re
 
@@ -40,3 +41,21 @@ def test_tokenize_has_every_word(spark):
         want[k] = (len(w), min(len(w), 512), 512, *(hashlib.md5(" ".join(x).encode()).hexdigest() for x in (w, padded)))
     got = {r.doc_id: (r.words, r.n, r.width, r.words_md5, r.tokens_md5) for r in QUERIES["tokenize"](spark, SMALL).collect()}
     assert got == want and max(w[0] for w in want.values()) > 512
+
+
+@tables
+def test_feature_stats_has_every_float_value(spark):
+    """A dataset's counts and means of all six features, in Python."""
+    rows = views(SMALL).execute("SELECT dataset_path, ts_sec, joint_position, joint_velocity, cartesian_position, gripper_position, next_reward FROM frames").fetchall()
+    names = ["ts_sec", "joint_position", "joint_velocity", "cartesian_position", "gripper_position", "next_reward"]
+    values = {}
+    for path, *row in rows:
+        for name, x in zip(names, row):
+            for k, v in enumerate(x if isinstance(x, list) else [x] if x is not None else []):
+                if v is not None and math.isfinite(v):
+                    values.setdefault((path, name, k), []).append(v)
+    got = {(r.dataset_path, r.feature, r.dim): r for r in QUERIES["feature_stats"](spark, SMALL).collect()}
+    assert set(got) == set(values) and {(f, k) for _, f, k in got} == {(f, k) for f, n in zip(names, (1, 7, 7, 6, 1, 1)) for k in range(n)}
+    for key, v in values.items():
+        r = got[key]
+        assert r.n == len(v) and abs(r["mean"] - math.fsum(v) / len(v)) < 1e-5 and abs(r["min"] - min(v)) < 1e-6 and abs(r["max"] - max(v)) < 1e-6

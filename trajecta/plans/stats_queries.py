@@ -14,15 +14,20 @@ def _six(df, by, digits=4):
     return df.select(*by, "n", *[r(c, digits).alias(c) for c in stats.STATS])
 
 
+#: Float features of frames, with their dims.
+_FEATURES = {"ts_sec": 0, "joint_position": 7, "joint_velocity": 7, "cartesian_position": 6, "gripper_position": 0, "next_reward": 0}
+_TALL = " UNION ALL ".join(f"SELECT dataset_path, '{f}' AS feature, " + (f"unnest(range({n})) AS dim, unnest({f}[1:{n}]) AS value" if n else f"0 AS dim, {f} AS value") + " FROM frames" for f, n in _FEATURES.items())
+
+
 @query(
     "feature_stats",
-    "WITH u AS (SELECT dataset_path, 'joint_velocity' AS feature, unnest(range(7)) AS dim, unnest(joint_velocity[1:7]) AS value FROM frames"
-    " UNION ALL SELECT dataset_path, 'cartesian_position', unnest(range(6)), unnest(cartesian_position[1:6]) FROM frames)"
+    f"WITH u AS ({_TALL})"
     f" SELECT dataset_path, feature, CAST(dim AS BIGINT) AS dim, count(value) AS n, {_SIX.replace(', 4)', ', 6)')} FROM u WHERE value IS NOT NULL AND NOT isnan(value) AND isfinite(value) GROUP BY ALL",
 )
 def feature_stats(spark, d):
-    """Per dataset, feature and dim over the finite readings."""
-    v = stats.tall(table(spark, d, "frames"), ["dataset_path"], ["joint_velocity", "cartesian_position"]).where("abs(value) < double('Infinity')")
+    """Per dataset, float feature and dim over the finite readings."""
+    frames = table(spark, d, "frames")
+    v = stats.tall(frames, ["dataset_path"], stats.float_features(frames)).where("abs(value) < double('Infinity')")
     by = ["dataset_path", "feature", "dim"]
     return _six(stats.feature_stats(v.withColumn("dim", F.col("dim").cast("long")), by), by, 6)
 
