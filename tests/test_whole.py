@@ -59,3 +59,35 @@ def test_feature_stats_has_every_float_value(spark):
     for key, v in values.items():
         r = got[key]
         assert r.n == len(v) and abs(r["mean"] - math.fsum(v) / len(v)) < 1e-5 and abs(r["min"] - min(v)) < 1e-6 and abs(r["max"] - max(v)) < 1e-6
+
+
+def _lengths():
+    return dict(views(SMALL).execute("SELECT user_id, count(*) FROM events GROUP BY 1").fetchall())
+
+
+@tables
+def test_needed_frames_of_every_start(spark):
+    got = {}
+    for r in QUERIES["needed_frames"](spark, SMALL).orderBy("place").collect():
+        got.setdefault(r.episode_index, []).append(r.needed)
+    assert got == {e: sorted({f + k for f in range(n) if f <= n - 8 for k in (-8, 0, 8) if 0 <= f + k < n}) for e, n in _lengths().items()}
+    # the rows of every twentieth start are part of it
+    assert all({f + k for f in range(0, n, 20) for k in (-8, 0, 8) if 0 <= f + k < n} <= set(got[e]) for e, n in _lengths().items())
+
+
+@tables
+def test_ranges_and_intervals_of_every_episode(spark):
+    frames = {}
+    for r in QUERIES["idle_range_filter"](spark, SMALL).orderBy("new_frame").collect():
+        frames.setdefault(r.episode_index, []).append((r.ordinal, r.frame_index))
+    assert frames == {e: [(0, f) for f in range(n // 2, n * 3 // 4)] + [(1, f) for f in range(n // 8, (n * 5 + 7) // 8)] for e, n in _lengths().items()}
+
+    names = {(r.episode_index, r.frame_index): r.name for r in QUERIES["interval_label"](spark, SMALL).collect()}
+    want = {}
+    for e, n in _lengths().items():
+        for f in range(n):
+            want[e, f] = "N/A"
+            for name, lo, hi in (("reach", 0, n // 4), ("grasp", n // 5, n // 2), ("lift", n // 6, n * 2 // 5), ("rest", n * 3 // 5, n)):
+                if lo <= f < hi:
+                    want[e, f] = name
+    assert names == want

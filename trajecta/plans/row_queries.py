@@ -38,12 +38,13 @@ def language_filter_strict(spark, d):
     return filters.with_language(table(spark, d, "annotations"), "annotation_id", _SLOTS, "strict").groupBy("annotation_id").agg(F.count("*").alias("n"))
 
 
-_RANGES = "ranges AS (SELECT DISTINCT episode_index, o AS ordinal, CASE o WHEN 0 THEN 20 ELSE 5 END AS lo, CASE o WHEN 0 THEN 30 ELSE 24 END AS hi FROM (SELECT episode_index, unnest([0, 1]) AS o FROM steps) WHERE episode_index % 3 <> 2)"
+#: Ranges of every episode by its length, the second over a part of the first.
+_RANGES = "ranges AS (SELECT episode_index, o AS ordinal, CASE o WHEN 0 THEN length // 2 ELSE length // 8 END AS lo, CASE o WHEN 0 THEN length * 3 // 4 ELSE (length * 5 + 7) // 8 END AS hi FROM (SELECT DISTINCT episode_index, length, unnest([0, 1]) AS o FROM steps))"
 
 
 def _ranges(s):
-    x = s.select("episode_index").distinct().where("episode_index % 3 <> 2").withColumn("ordinal", F.explode(F.array(F.lit(0), F.lit(1))))
-    return x.withColumns({"start": F.when(F.col("ordinal") == 0, 20).otherwise(5), "end": F.when(F.col("ordinal") == 0, 30).otherwise(24)})
+    x = s.select("episode_index", "length").distinct().withColumn("ordinal", F.explode(F.array(F.lit(0), F.lit(1))))
+    return x.select("episode_index", "ordinal", F.expr("CASE ordinal WHEN 0 THEN length div 2 ELSE length div 8 END AS start"), F.expr("CASE ordinal WHEN 0 THEN length * 3 div 4 ELSE (length * 5 + 7) div 8 END AS end"))
 
 
 @query("idle_range_filter", f"WITH {STEPS}, {_RANGES} SELECT episode_index, frame_index, ordinal, CAST(row_number() OVER (PARTITION BY episode_index ORDER BY ordinal, frame_index) - 1 AS BIGINT) AS new_frame FROM steps JOIN ranges USING (episode_index) WHERE frame_index >= lo AND frame_index < hi")
@@ -103,14 +104,16 @@ def text_encode(spark, d):
     return e.join(stats.dictionary_sorted(e, "event_type"), "event_type").select("event_id", "id")
 
 
-_INTERVALS = "intervals AS (SELECT DISTINCT episode_index, o AS ordinal, [-5, 10, 8, NULL, 30][o + 1] AS lo, [12, 25, 18, 40, 9999][o + 1] AS hi, ['reach', 'grasp', 'lift', 'never', 'rest'][o + 1] AS name FROM (SELECT episode_index, unnest(range(5)) AS o FROM steps) WHERE episode_index % 2 = 0)"
+#: Intervals of every episode by its length; frames from a half to three fifths are in none.
+_INTERVALS = "intervals AS (SELECT episode_index, o AS ordinal, [-5, length // 5, length // 6, NULL, length * 3 // 5][o + 1] AS lo, [length // 4, length // 2, length * 2 // 5, length, 9999][o + 1] AS hi, ['reach', 'grasp', 'lift', 'never', 'rest'][o + 1] AS name FROM (SELECT DISTINCT episode_index, length, unnest(range(5)) AS o FROM steps))"
 
 
 @query("interval_label", f"WITH {STEPS}, {_INTERVALS}, h AS (SELECT s.episode_index, s.frame_index, arg_max(name, ordinal) AS name FROM steps s JOIN intervals i ON s.episode_index = i.episode_index AND s.frame_index >= greatest(lo, 0) AND s.frame_index < least(hi, length) AND lo IS NOT NULL GROUP BY ALL) SELECT episode_index, frame_index, coalesce(name, 'N/A') AS name FROM steps LEFT JOIN h USING (episode_index, frame_index)")
 def interval_label(spark, d):
-    s = steps(spark, d).select("episode_index", "frame_index")
-    i = spark.createDataFrame([(0, -5, 12, "reach"), (1, 10, 25, "grasp"), (2, 8, 18, "lift"), (3, None, 40, "never"), (4, 30, 9999, "rest")], "ordinal int, start long, end long, name string")
-    i = s.select("episode_index").distinct().where("episode_index % 2 = 0").withColumn("ordinal", F.explode(F.sequence(F.lit(0), F.lit(4)))).join(i, "ordinal")
+    s = steps(spark, d).select("episode_index", "frame_index", "length")
+    bounds = {"start": "-5L, length div 5, length div 6, CAST(NULL AS BIGINT), length * 3 div 5", "end": "length div 4, length div 2, length * 2 div 5, length, 9999L", "name": "'reach', 'grasp', 'lift', 'never', 'rest'"}
+    i = s.select("episode_index", "length").distinct().withColumn("ordinal", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    i = i.select("episode_index", "ordinal", *[F.expr(f"array({x})[ordinal]").alias(n) for n, x in bounds.items()])
     return joins.interval_labels(s, i, "episode_index", "frame_index", "name").select("episode_index", "frame_index", "name")
 
 
@@ -212,9 +215,10 @@ def gather_sparse_deltas(spark, d):
     return _gather(spark, d, [-23, -16, -8, 0], "first_last")
 
 
-@query("needed_frames", f"WITH {STEPS}, n AS (SELECT DISTINCT episode_index, frame_index + d AS needed FROM (SELECT *, unnest([-8, 0, 8]) AS d FROM steps WHERE frame_index % 20 = 0) WHERE frame_index + d >= 0 AND frame_index + d < length) SELECT episode_index, needed, CAST(row_number() OVER (PARTITION BY episode_index ORDER BY needed) - 1 AS BIGINT) AS place FROM n")
+@query("needed_frames", f"WITH {STEPS}, n AS (SELECT DISTINCT episode_index, frame_index + d AS needed FROM (SELECT *, unnest([-8, 0, 8]) AS d FROM steps WHERE frame_index <= length - 8) WHERE frame_index + d >= 0 AND frame_index + d < length) SELECT episode_index, needed, CAST(row_number() OVER (PARTITION BY episode_index ORDER BY needed) - 1 AS BIGINT) AS place FROM n")
 def needed_frames(spark, d):
-    return windows.needed_frames(steps(spark, d).where("frame_index % 20 = 0"), [-8, 0, 8])
+    deltas = [-8, 0, 8]
+    return windows.needed_frames(filters.allowed_starts(steps(spark, d), "episode_index", "frame_index", max(deltas)), deltas)
 
 
 _MOST = 2
