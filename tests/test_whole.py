@@ -91,3 +91,35 @@ def test_ranges_and_intervals_of_every_episode(spark):
                 if lo <= f < hi:
                     want[e, f] = name
     assert names == want
+
+
+@tables
+def test_anchors_up_to_five(spark):
+    """The walk from each start, back before forward, in Python."""
+    got = {}
+    for r in QUERIES["chunk_anchors_video"](spark, SMALL).orderBy("number").collect():
+        got.setdefault((r.episode_index, r.first), []).append(r.anchor)
+    want = {}
+    for e, n in _lengths().items():
+        label = lambda f, e=e: 0 if e % 3 == 0 else f // 60
+        for first in range(n):
+            kept, open_sides = [first] if first + 23 < n else [], {-1, 1}
+            for k in range(1, n):
+                for side in (-1, 1):
+                    a = first + side * 24 * k
+                    if side in open_sides and (a < 0 or a >= n or label(a) != label(first)):
+                        open_sides.discard(side)
+                    elif side in open_sides and a + 23 < n:
+                        kept.append(a)
+            if kept:
+                want[e, first] = sorted(kept[:5])
+    assert got == want and max(map(len, got.values())) > 2
+
+
+@tables
+def test_relative_statistics_of_whole_action_chunks(spark):
+    lengths = _lengths().values()
+    got = {r.h: r.n for r in QUERIES["relative_stats_per_horizon"](spark, SMALL).collect()}
+    assert got == {h: sum(n - 23 for n in lengths) for h in range(24)}
+    assert QUERIES["relative_stats_pooled_loader"](spark, SMALL).head().n == 24 * sum(n - 23 for n in lengths)
+    assert QUERIES["relative_stats_pooled_converter"](spark, SMALL).head().n == 24 * sum(n - 24 for n in lengths)

@@ -221,7 +221,8 @@ def needed_frames(spark, d):
     return windows.needed_frames(filters.allowed_starts(steps(spark, d), "episode_index", "frame_index", max(deltas)), deltas)
 
 
-_MOST = 2
+#: Most anchors of a start, the reference's max_chunk_size.
+_MOST = 5
 #: Long runs of one label: the coarse label of a step is its stretch of 60 frames, doubled for every third user.
 _COARSE = "CASE WHEN episode_index % 3 = 0 THEN 0 ELSE frame_index // 60 END"
 _ANCHORS = f"""{STEPS}, c AS (SELECT episode_index, frame_index, length, CAST({_COARSE} AS BIGINT) AS coarse, frame_index % 24 AS lane FROM steps),

@@ -43,24 +43,28 @@ def float_features(spark, d):
     return spark.createDataFrame([(n,) for n in stats.float_features(table(spark, d, "frames"))], "name string")
 
 
+#: Rows of an action chunk: the reference's delta_indices of actions, 0 to 23.
+_HORIZON = 24
+
+
 def _relative_sql(last: str, by: str) -> str:
     out = f"{by}, " if by else ""
-    return f"WITH {STEPS}, u AS (SELECT b.frame_index - a.frame_index AS h, b.value - a.value AS value FROM steps a JOIN steps b ON a.episode_index = b.episode_index AND b.frame_index BETWEEN a.frame_index AND a.frame_index + 3 WHERE a.frame_index <= {last}) SELECT {out}count(value) AS n, {_SIX} FROM u" + (f" GROUP BY {by}" if by else "")
+    return f"WITH {STEPS}, u AS (SELECT b.frame_index - a.frame_index AS h, b.value - a.value AS value FROM steps a JOIN steps b ON a.episode_index = b.episode_index AND b.frame_index BETWEEN a.frame_index AND a.frame_index + {_HORIZON - 1} WHERE a.frame_index <= {last}) SELECT {out}count(value) AS n, {_SIX} FROM u" + (f" GROUP BY {by}" if by else "")
 
 
-@query("relative_stats_pooled_loader", _relative_sql("a.length - 4", ""))
+@query("relative_stats_pooled_loader", _relative_sql(f"a.length - {_HORIZON}", ""))
 def relative_stats_pooled_loader(spark, d):
-    return _six(stats.feature_stats(stats.relative_values(steps(spark, d), "value", "value", 4), []), [])
+    return _six(stats.feature_stats(stats.relative_values(steps(spark, d), "value", "value", _HORIZON), []), [])
 
 
-@query("relative_stats_pooled_converter", _relative_sql("a.length - 5", ""))
+@query("relative_stats_pooled_converter", _relative_sql(f"a.length - {_HORIZON + 1}", ""))
 def relative_stats_pooled_converter(spark, d):
-    return _six(stats.feature_stats(stats.relative_values(steps(spark, d), "value", "value", 4, "converter"), []), [])
+    return _six(stats.feature_stats(stats.relative_values(steps(spark, d), "value", "value", _HORIZON, "converter"), []), [])
 
 
-@query("relative_stats_per_horizon", _relative_sql("a.length - 4", "h"))
+@query("relative_stats_per_horizon", _relative_sql(f"a.length - {_HORIZON}", "h"))
 def relative_stats_per_horizon(spark, d):
-    v = stats.relative_values(steps(spark, d), "value", "value", 4).withColumn("h", F.col("h").cast("long"))
+    v = stats.relative_values(steps(spark, d), "value", "value", _HORIZON).withColumn("h", F.col("h").cast("long"))
     return _six(stats.feature_stats(v, ["h"]), ["h"])
 
 
