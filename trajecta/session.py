@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,21 +27,29 @@ def build(app: str = "trajecta", master: str | None = None, partitions: int | No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (local mode, tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local master may do without; it gets a temporary folder that goes with the process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        at = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if at.isDefined():
-            return at.get()
+    if base:
+        return base
+    at = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not at.isDefined():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: executors need a folder that all of them share")
         base = tempfile.mkdtemp(prefix="trajecta-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return base
+        at = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return at.get()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application's intermediate tables lie."""
+    return f"{shared_dir(spark).rstrip('/')}/trajecta/{spark.sparkContext.applicationId}"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/trajecta/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -50,6 +60,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. Results that weren't read yet still need theirs, so the caller says when."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
