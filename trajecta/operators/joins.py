@@ -71,3 +71,20 @@ def located(rows: DataFrame, starts: DataFrame, number: str, span: int = 1024) -
     s = starts.where("length > 0").withColumn("_cell", F.explode(F.sequence(F.floor(F.col("start") / span), F.floor((F.col("start") + F.col("length") - 1) / span))))
     x = rows.withColumn("_cell", F.floor(F.col(number) / span)).join(s, "_cell").where((F.col(number) >= F.col("start")) & (F.col(number) < F.col("start") + F.col("length")))
     return x.withColumn("local_row", F.col(number) - F.col("start")).drop("_cell", "start", "length")
+
+
+#: A key with more than this part of all rows is hot; so fewer than HOT_KEYS keys are.
+HOT_KEYS = 1000
+
+
+def spread(large: DataFrame, keyed: DataFrame, on: list[str], counted: str, total: int) -> DataFrame:
+    """Inner join of large with keyed, which has one row a key, no hot key in one task.
+
+    counted is the number of large's rows with the key, total the number of all rows. The rows of hot keys (fewer than HOT_KEYS
+    keys, whatever the data) meet a broadcast where they lie; only the others are shuffled.
+    """
+    limit = max(total // HOT_KEYS, 1)
+    hot = F.broadcast(keyed.where(F.col(counted) > limit))
+    cold = keyed.where(F.col(counted) <= limit).drop(counted)
+    rest = large.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return large.join(hot.drop(counted), on).unionByName(rest.join(cold, on))
