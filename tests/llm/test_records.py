@@ -127,7 +127,7 @@ def test_permutation(n):
 def test_shard_counts():
     quota = [1000, 5, 2500, 0, 37]
     shards = -(-sum(quota) // mixing.SLOTS_A_SHARD)
-    parts = [mixing.shard_counts(quota, k, shards, [1, 2]) for k in range(shards)]
+    parts = [np.array(mixing.shard_counts(quota, k, shards, [1, 2])[0]) for k in range(shards)]
     assert np.sum(parts, axis=0).tolist() == quota
     assert all(p.sum() == mixing.SLOTS_A_SHARD for p in parts[:-1])
 
@@ -168,3 +168,31 @@ def test_mixture(spark):
 def test_pattern():
     got = mixing.resolve([{"mixture_name": "m", "dataset_path": "d/x*/", "dataset_weight": 2.0, "distribute_weights": t, "max_repeats": None} for t in (True, False)], {"d/x1": 30, "d/x2": 10, "d/y": 5})
     assert {e["dataset_path"]: (e["weight"], e["cap"]) for e in got} == {"d/x1": (3.5, 1), "d/x2": (2.5, 1)}
+
+
+def test_large_populations_are_drawn_by_the_same_law(monkeypatch):
+    rng = np.random.default_rng(3)
+    for good, bad, size in ((40, 60, 30), (5000, 20000, 700), (900, 3, 500)):
+        want = rng.hypergeometric(good, bad, size, 6000)
+        monkeypatch.setattr(mixing, "NUMPY_POPULATION", 0)
+        got = np.array([mixing.hypergeometric(rng, good, bad, size) for _ in range(6000)])
+        both = np.unique(np.concatenate([want, got]))
+        cells = np.unique(np.quantile(want, np.linspace(0, 1, 12)))
+        a, b = (np.histogram(x, [both[0] - 1, *cells, both[-1] + 1])[0] for x in (got, want))
+        assert ((a - b) ** 2 / np.maximum(a + b, 1)).sum() < 40
+    n = 10**13
+    got = np.array([mixing.hypergeometric(rng, 3 * n // 10, 7 * n // 10, n // 2) for _ in range(4000)])
+    assert abs(got.mean() - 0.15 * n) < 5 * got.std() / 4000**0.5
+    assert abs(got.std() / (n * 0.5 * 0.3 * 0.7 * 0.5) ** 0.5 - 1) < 0.06
+
+
+def test_shards_add_up_and_know_what_came_before():
+    quota = [5000, 1, 0, 3300]
+    shards = -(-sum(quota) // mixing.SLOTS_A_SHARD)
+    seen = [0] * 4
+    for k in range(shards):
+        got, before = mixing.shard_counts(quota, k, shards, [1, 2])
+        assert before == seen
+        assert sum(got) == min(mixing.SLOTS_A_SHARD, sum(quota) - k * mixing.SLOTS_A_SHARD)
+        seen = [a + b for a, b in zip(seen, got)]
+    assert seen == quota

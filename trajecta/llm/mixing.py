@@ -3,8 +3,8 @@
 The episodes of a dataset, in pseudorandom order, are laid end to end and cut into blocks of BLOCK frames. A mixture has as many
 slots as its datasets have blocks, or fewer where a small dataset with a large weight would have to be repeated too often.
 Every output shard draws how many of its slots go to each dataset from a multinomial of the target shares, conditioned on the
-mixture's totals so that chance doesn't move the shares (each shard finds its draw by halving the range of shards, so none needs
-another's); the k-th slot of a dataset takes, of repeat k div n, the block at place k mod n of a pseudorandom permutation of its n blocks, so a block (and
+mixture's totals so that chance doesn't move the shares (each shard finds its draw, and what all shards before it drew, by halving the
+range of shards, so none needs another's; the law is the same at every size); the k-th slot of a dataset takes, of repeat k div n, the block at place k mod n of a pseudorandom permutation of its n blocks, so a block (and
 thereby an episode) comes at most once a repeat, and slots are joined to blocks by number.
 
 Defined cases: a trailing slash of a path is ignored, `*` is a pattern over the datasets that have episodes; a path listed twice
@@ -88,24 +88,70 @@ def quotas(entries: list[dict], blocks: dict[str, int]) -> list[int]:
     return [min(q, blocks[e["dataset_path"]] * e["cap"]) for q, e in zip(out, entries)]
 
 
-#: Above so many slots numpy draws no hypergeometric; a range of shards is then halved by expectation, chance being negligible.
-DRAWN_SLOTS = 900_000_000
-
-
-def shard_counts(quota: list[int], shard: int, shards: int, key: list[int]) -> np.ndarray:
-    """Slots of each dataset in one shard."""
-    q, lo, hi, total = np.array(quota, "i8"), 0, shards, sum(quota)
+#: Populations that numpy's hypergeometric takes; larger ones are drawn by `_rejected`, by the same law.
+NUMPY_POPULATION = 1_000_000_000
+
+
+def _log_factorials(a: int, b: int) -> float:
+    """ln a! - ln b!, exact to about 1e-9 however large both are."""
+    if min(a, b) < 256:
+        return math.lgamma(a + 1) - math.lgamma(b + 1)
+    d = a - b
+    rest = lambda x: (1 / 12 - (1 / 360 - 1 / (1260.0 * x * x)) / (x * x)) / x
+    return (b + 0.5) * math.log1p(d / b) + d * math.log(a) - d + rest(a) - rest(b)
+
+
+def _rejected(rng: np.random.Generator, good: int, bad: int, size: int) -> int:
+    """A hypergeometric draw by the ratio of uniforms (Stadlober 1990), with log factorials taken as differences from the mode's."""
+    n = good + bad
+    p = size / n
+    spread = math.sqrt(good * p * (1 - p) * (bad / n) * n / (n - 1) + 0.5)
+    center = good * p + 0.5
+    width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+    mode = (size + 1) * (good + 1) // (n + 2)
+    low, high = max(0, size - bad), min(size, good)
+    while True:
+        u = rng.random()
+        x = math.floor(center + width * (rng.random() - 0.5) / u) if u else low - 1
+        if low <= x <= high:
+            ratio = -sum(_log_factorials(a + s * x, a + s * mode) for a, s in ((0, 1), (good, -1), (size, -1), (bad - size, 1)))
+            if 2 * math.log(u) <= ratio:
+                return x
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, size: int) -> int:
+    """Good ones among size drawn without replacement from good and bad."""
+    if not good or not size:
+        return 0
+    if not bad or size == good + bad:
+        return min(size, good)
+    if good + bad < NUMPY_POPULATION:
+        return int(rng.hypergeometric(good, bad, size))
+    return _rejected(rng, good, bad, size)
+
+
+def _urn(rng: np.random.Generator, quota: list[int], size: int) -> list[int]:
+    """How many of size slots, drawn from all, are of each dataset: one margin after the other."""
+    out, rest = [], sum(quota)
+    for q in quota:
+        rest -= q
+        got = hypergeometric(rng, q, rest, size)
+        out.append(got)
+        size -= got
+    return out
+
+
+def shard_counts(quota: list[int], shard: int, shards: int, key: list[int]) -> tuple[list[int], list[int]]:
+    """Slots of each dataset in one shard, and in all shards before it."""
+    q, before, lo, hi, total = list(quota), [0] * len(quota), 0, shards, sum(quota)
     while hi - lo > 1:
         mid = (lo + hi) // 2
-        size = min(mid * SLOTS_A_SHARD, total) - lo * SLOTS_A_SHARD
-        if q.sum() < DRAWN_SLOTS:
-            left = np.random.default_rng([*key, lo, hi]).multivariate_hypergeometric(q, size, method="marginals")
+        left = _urn(np.random.default_rng([*key, lo, hi]), q, min(mid * SLOTS_A_SHARD, total) - lo * SLOTS_A_SHARD)
+        if shard < mid:
+            q, hi = left, mid
         else:
-            exact = q * (size / q.sum())
-            left = np.floor(exact).astype("i8")
-            left[np.argsort(left - exact, kind="stable")[: size - left.sum()]] += 1
-        q, lo, hi = (left, lo, mid) if shard < mid else (q - left, mid, hi)
-    return q
+            q, before, lo = [a - b for a, b in zip(q, left)], [a + b for a, b in zip(before, left)], mid
+    return q, before
 
 
 def _pieces(episodes: DataFrame) -> DataFrame:
@@ -135,44 +181,32 @@ def drawn_slots(spark, entries: list[dict], blocks: dict[str, int], seed: int =
     names = sorted({e["mixture_name"] for e in entries})
     own = {n: sorted((e for e in entries if e["mixture_name"] == n and e["share"] > 0), key=lambda e: e["dataset_path"]) for n in names}
     quota = {n: quotas(own[n], blocks) if own[n] else [] for n in names}
-    todo = [(n, -(-sum(quota[n]) // SLOTS_A_SHARD)) for n in names if sum(quota[n])]
-    shards = spark.createDataFrame(todo, "mixture_name string, shards bigint").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
-
-    def draw(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            out = []
-            for n, of, shard in zip(*(c.to_pylist() for c in batch.columns)):
-                got = shard_counts(quota[n], shard, of, [seed, names.index(n)])
-                out += [(n, shard, e["dataset_path"], int(c)) for e, c in zip(own[n], got)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.string(), pa.int64()))], names=["mixture_name", "shard", "dataset_path", "n"])
-
-    drawn = shards.mapInArrow(draw, "mixture_name string, shard bigint, dataset_path string, n bigint")
-    before = Window.partitionBy("mixture_name", "dataset_path").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    place = Window.partitionBy("mixture_name", "shard").orderBy("dataset_path").rowsBetween(Window.unboundedPreceding, -1)
-    drawn = drawn.withColumn("k0", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("s0", F.coalesce(F.sum("n").over(place), F.lit(0))).where("n > 0")
+    shards = [-(-sum(quota[n]) // SLOTS_A_SHARD) for n in names]
+    ends = np.cumsum(shards)
     number = {p: k for k, p in enumerate(sorted(blocks))}
-    cap = {(e["mixture_name"], e["dataset_path"]): e["cap"] for e in entries}
 
-    def take(batches: Iterator) -> Iterator:
+    def draw(batches: Iterator) -> Iterator:
+        """Slots of each numbered shard; no shard needs another's."""
         import pyarrow as pa
 
         for batch in batches:
-            for n, shard, path, size, k0, s0 in zip(*(c.to_pylist() for c in batch.columns)):
-                k = k0 + np.arange(size)
-                of = blocks[path]
-                k = k[k < of * cap[n, path]]
-                if not len(k):
-                    continue
-                block = np.empty(len(k), "i8")
-                for r in np.unique(k // of):
-                    at = k // of == r
-                    block[at] = permute(k[at] % of, of, ((seed * 1009 + names.index(n)) * 1009 + number[path]) * 1009 + int(r))
-                yield pa.RecordBatch.from_arrays([pa.array([n] * len(k)), pa.array(np.full(len(k), shard)), pa.array(s0 + np.arange(len(k))), pa.array([path] * len(k)), pa.array(k // of), pa.array(block)], names=[z.split()[0] for z in SLOTS.split(", ")])
-
-    return drawn.select("mixture_name", "shard", "dataset_path", "n", "k0", "s0").mapInArrow(take, SLOTS)
+            for i in batch.column(0).to_pylist():
+                m = int(np.searchsorted(ends, i, "right"))
+                shard, n, s0 = i - int(ends[m] - shards[m]), names[m], 0
+                for e, size, k0 in zip(own[n], *shard_counts(quota[n], shard, shards[m], [seed, m])):
+                    if not size:
+                        continue
+                    path, of = e["dataset_path"], blocks[e["dataset_path"]]
+                    k = k0 + np.arange(size)
+                    block = np.empty(size, "i8")
+                    for r in np.unique(k // of):
+                        at = k // of == r
+                        block[at] = permute(k[at] % of, of, ((seed * 1009 + m) * 1009 + number[path]) * 1009 + int(r))
+                    yield pa.RecordBatch.from_arrays([pa.array([n] * size), pa.array(np.full(size, shard)), pa.array(s0 + np.arange(size)), pa.array([path] * size), pa.array(k // of), pa.array(block)], names=[z.split()[0] for z in SLOTS.split(", ")])
+                    s0 += size
+
+    total = int(ends[-1]) if names else 0
+    return spark.range(0, total, 1, max(1, min(total, spark.sparkContext.defaultParallelism * 4))).mapInArrow(draw, SLOTS)
 
 
 def mixture(episodes: DataFrame, spec: DataFrame) -> DataFrame:
@@ -181,11 +215,21 @@ def mixture(episodes: DataFrame, spec: DataFrame) -> DataFrame:
     return drawn_slots(episodes.sparkSession, entries, blocks).join(pieces, ["dataset_path", "block"])
 
 
+def _entry_table(spark, entries: list[dict]) -> DataFrame:
+    rows = [(e["mixture_name"], e["dataset_path"], float(e["weight"]), float(e["share"]), int(e["cap"])) for e in entries]
+    return spark.createDataFrame(rows, "mixture_name string, dataset_path string, weight double, target_share double, max_repeats bigint")
+
+
+def targets(episodes: DataFrame, spec: DataFrame) -> DataFrame:
+    """Weight, target share and cap of each mixture and dataset."""
+    return _entry_table(episodes.sparkSession, plan(episodes, spec)[1])
+
+
 def shares(episodes: DataFrame, spec: DataFrame) -> DataFrame:
     """Of each mixture and dataset: weight, target share, share reached, frames drawn, and the most often an episode's stretch was drawn, beside the cap."""
     pieces, entries, blocks = plan(episodes, spec)
     spark = episodes.sparkSession
-    table = spark.createDataFrame([(e["mixture_name"], e["dataset_path"], float(e["weight"]), float(e["share"]), int(e["cap"])) for e in entries], "mixture_name string, dataset_path string, weight double, target_share double, max_repeats bigint")
+    table = _entry_table(spark, entries)
     size = pieces.groupBy("dataset_path", "block").agg(F.sum("n_frames").alias("n"))
     got = drawn_slots(spark, entries, blocks).join(size, ["dataset_path", "block"]).groupBy("mixture_name", "dataset_path").agg(F.sum("n").alias("n_frames"), (F.max("repeat") + 1).alias("most_repeats"))
     out = table.join(got, ["mixture_name", "dataset_path"], "left").na.fill(0, ["n_frames", "most_repeats"])

@@ -146,6 +146,30 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "mixture_spec"))
 
 
+def p7_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, target share and cap of each mixture and dataset."""
+    got = mixing.targets(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "mixture_spec"))
+    return got.withColumns({c: F.round(c, 9) + F.lit(0.0) for c in ("weight", "target_share")})
+
+
+P7_TARGETS_SQL = """
+WITH e AS (SELECT rtrim(dataset_path, '/') AS path, length FROM episodes WHERE episode_index IS NOT NULL AND dataset_path IS NOT NULL
+           QUALIFY row_number() OVER (PARTITION BY episode_index ORDER BY exported_at DESC, length) = 1),
+l AS (SELECT path, sum(length) AS n FROM e WHERE length > 0 GROUP BY 1),
+s AS (SELECT row_number() OVER () AS spec, mixture_name, rtrim(coalesce(dataset_path, ''), '/') AS p, distribute_weights, greatest(coalesce(max_repeats, 1), 0) AS cap,
+             CASE WHEN isfinite(dataset_weight) AND dataset_weight > 0 THEN dataset_weight ELSE 0 END AS w
+      FROM mixture_spec WHERE mixture_name IS NOT NULL),
+h AS (SELECT s.*, path, n FROM s JOIN l ON path GLOB p WHERE contains(p, '*')
+      UNION ALL SELECT s.*, p, coalesce(n, 0) FROM s LEFT JOIN l ON path = p WHERE NOT contains(p, '*')),
+t AS (SELECT *, sum(n) OVER (PARTITION BY spec) AS total FROM h),
+g AS (SELECT mixture_name, path AS dataset_path, sum(w * CASE WHEN coalesce(distribute_weights, false) THEN CASE WHEN total > 0 THEN n / total ELSE 0 END ELSE 1 END) AS weight,
+             CAST(min(cap) AS BIGINT) AS max_repeats, max(n) AS n FROM t GROUP BY 1, 2),
+d AS (SELECT *, CASE WHEN n > 0 AND max_repeats > 0 THEN weight ELSE 0 END AS drawn FROM g),
+q AS (SELECT *, sum(drawn) OVER (PARTITION BY mixture_name) AS total FROM d)
+SELECT mixture_name, dataset_path, round(weight, 9) AS weight, round(CASE WHEN total > 0 THEN drawn / total ELSE 0 END, 9) AS target_share, max_repeats FROM q
+"""
+
+
 # 9: containers
 
 
@@ -169,8 +193,8 @@ def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p6_found": p6_found, "p6_splits": p6_splits, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_pages": p10_pages, "p2_found": p2_found, "p2_records": p2_records, "p8_ids": p8_ids, "p3_found": p3_found, "p3_runs": lambda s, d: p3_runs(s, d).withColumn("duration", F.round("duration", 4)), "p5_percentiles": p5_percentiles, "p5_percentiles_by_day": p5_percentiles_by_day}
+    return {"p6_found": p6_found, "p6_splits": p6_splits, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_targets": p7_targets, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_pages": p10_pages, "p2_found": p2_found, "p2_records": p2_records, "p8_ids": p8_ids, "p3_found": p3_found, "p3_runs": lambda s, d: p3_runs(s, d).withColumn("duration", F.round("duration", 4)), "p5_percentiles": p5_percentiles, "p5_percentiles_by_day": p5_percentiles_by_day}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_SQL, "p6_found": P6_SQL, "p3_found": f"SELECT episode_index, first_frame, last_frame FROM ({P3_SQL})", "p3_runs": P3_SQL, "p5_percentiles": _p5_sql(), "p5_percentiles_by_day": _p5_sql()}
+    return {"p2_found": P2_SQL, "p7_targets": P7_TARGETS_SQL, "p6_found": P6_SQL, "p3_found": f"SELECT episode_index, first_frame, last_frame FROM ({P3_SQL})", "p3_runs": P3_SQL, "p5_percentiles": _p5_sql(), "p5_percentiles_by_day": _p5_sql()}
