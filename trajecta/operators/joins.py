@@ -73,17 +73,24 @@ def located(rows: DataFrame, starts: DataFrame, number: str, span: int = 1024) -
     return x.withColumn("local_row", F.col(number) - F.col("start")).drop("_cell", "start", "length")
 
 
-#: A key with more than this part of all rows is hot; so fewer than HOT_KEYS keys are.
-HOT_KEYS = 1000
+#: A key is hot that holds more than 1 / HOT_KEYS of all rows, so fewer than HOT_KEYS keys are; one of up to LEAST_HOT rows never is.
+HOT_KEYS, LEAST_HOT = 1000, 100_000
+
+
+def may_be_hot(total: int) -> bool:
+    """Whether any key can be hot among so many rows."""
+    return total > LEAST_HOT
 
 
 def spread(large: DataFrame, keyed: DataFrame, on: list[str], counted: str, total: int) -> DataFrame:
     """Inner join of large with keyed, which has one row a key, no hot key in one task.
 
-    counted is the number of large's rows with the key, total the number of all rows. The rows of hot keys (fewer than HOT_KEYS
-    keys, whatever the data) meet a broadcast where they lie; only the others are shuffled.
+    counted is the number of large's rows with the key (dropped), total the number of all rows. The rows of hot keys (fewer than
+    HOT_KEYS keys, whatever the data) meet a broadcast where they lie; only the others are shuffled. Null keys match nothing.
     """
-    limit = max(total // HOT_KEYS, 1)
+    if not may_be_hot(total):
+        return large.join(keyed.drop(counted), on)
+    limit = max(total // HOT_KEYS, LEAST_HOT)
     hot = F.broadcast(keyed.where(F.col(counted) > limit))
     cold = keyed.where(F.col(counted) <= limit).drop(counted)
     rest = large.join(F.broadcast(hot.select(*on)), on, "left_anti")
