@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from trajecta.llm import duplicates, mixing, splits
+from trajecta.operators import joins
 
 
 def canon(t):
@@ -196,3 +197,38 @@ def test_shards_add_up_and_know_what_came_before():
         assert sum(got) == min(mixing.SLOTS_A_SHARD, sum(quota) - k * mixing.SLOTS_A_SHARD)
         seen = [a + b for a, b in zip(seen, got)]
     assert seen == quota
+
+
+@pytest.fixture
+def hot(monkeypatch):
+    """Every popular key counts as hot, as it would among billions of rows."""
+    monkeypatch.setattr(joins, "LEAST_HOT", 2)
+    monkeypatch.setattr(joins, "HOT_KEYS", 12)
+
+
+def test_hot_texts_and_tasks(spark, hot):
+    test_duplicates(spark)
+    test_groups_and_splits(spark, 1)
+    test_long_chain_and_proportions(spark)
+
+
+def test_the_rarest_label_comes_first():
+    """Twenty groups of a rare label and many of a common one, under one label each and the same outcome."""
+    vectors = {f"r{k}": {"rare": 1, "yes": 1} for k in range(20)} | {f"c{k}": {"common": 3, "yes": 3} for k in range(300)} | {"both": {"rare": 5, "common": 400, "yes": 405}}
+    got = splits.stratified(vectors)
+    part = lambda label, s: sum(v.get(label, 0) for g, v in vectors.items() if got[g] == s)
+    for label, total in (("rare", 25), ("common", 1300), ("yes", 1325)):
+        for s, p in splits.PROPORTIONS:
+            assert abs(part(label, s) - p * total) <= 3
+    assert set(got) == set(vectors) and splits.stratified({}) == {}
+
+
+def test_many_labels_keep_their_shares(spark):
+    """Seventy datasets of fifty episodes each: every one is stratified, none is lumped with others."""
+    t0 = dt.datetime(2025, 1, 1)
+    rows = [(70 * k + d, f"d{d}", [f"only {70 * k + d}"], k % 3 == 0, t0) for k in range(50) for d in range(70)]
+    episodes = spark.createDataFrame(rows, "episode_index bigint, dataset_path string, tasks array<string>, success boolean, exported_at timestamp")
+    got = splits.shares(episodes, spark.createDataFrame([], "task_index bigint, task string")).collect()
+    assert len(got) == 3 * 73
+    assert all(abs(r.share - r.target_share) <= 0.025 for r in got)
+    assert sum(r.n for r in got if r.label == "all") == 3500

@@ -2,7 +2,8 @@
 
 Rows equal byte for byte are collapsed first, with their counts; only the distinct texts left are brought to canonical form
 (letters and digits in order, case removed), and those are grouped again on the whole canonical text, the counts summed.
-No list of a group's records is ever built: each record finds the smallest id of its set by a join on its raw text.
+No list of a group's records is ever built: each record finds the smallest id of its set by a join on its raw text, in which popular
+texts and sets are spread over all tasks (joins.spread).
 
 Defined cases: texts without letter or digit (null, blank, punctuation) are no record; of several slots those are ignored;
 the same id delivered twice is one record; a null id names no record; an empty table gives no rows; other columns are ignored.
@@ -13,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trajecta.operators.joins import spread
+from trajecta.session import materialize
+
 #: Everything but Unicode letters (L) and digits (N).
 OTHER = r"[^\p{L}\p{N}]+"
 #: Between slots of a canonical record; no letter or digit, so it can't come from a text.
@@ -52,7 +56,9 @@ def copies(df: DataFrame, id_col: str, slots: list[str]) -> DataFrame:
     """(keep_id, copy_id) of each record that isn't the one kept of its set."""
     records, texts = _stages(df, id_col, slots)
     raw = [c for c in records.columns if c.startswith("_s")]
-    sets = texts.groupBy("_canonical").agg(F.min("_least").alias("keep_id"), F.sum("_records").alias("_n")).where("_n > 1")
-    keep = texts.join(sets, "_canonical").select(*raw, "keep_id")
-    pairs = records.join(keep, raw).where("_id <> keep_id").select("keep_id", F.col("_id").alias("copy_id"))
+    texts = materialize(texts, "p2-texts")
+    n_texts, n_records = texts.agg(F.count("*"), F.coalesce(F.sum("_records"), F.lit(0))).head()
+    sets = texts.groupBy("_canonical").agg(F.min("_least").alias("keep_id"), F.sum("_records").alias("_n"), F.count("*").alias("_forms")).where("_n > 1").drop("_n")
+    keep = spread(texts, sets, ["_canonical"], "_forms", n_texts).select(*raw, "keep_id", "_records")
+    pairs = spread(records.drop("_rows"), keep, raw, "_records", n_records).where("_id <> keep_id").select("keep_id", F.col("_id").alias("copy_id"))
     return pairs.distinct()

@@ -41,6 +41,12 @@ _P2_KEYS = f"""
 k AS (SELECT DISTINCT 'tasks' AS table_name, task_index AS id, {_CANONICAL.format("task")} AS c FROM tasks
       UNION SELECT DISTINCT 'annotations', annotation_id, array_to_string(list_sort(list_filter([{", ".join(_CANONICAL.format(f"coalesce(language_instruction{x}, '')") for x in ("", "_2", "_3"))}], lambda x: x <> '')), chr(1)) FROM annotations),
 g AS (SELECT *, min(id) OVER (PARTITION BY table_name, c) AS keep_id FROM k WHERE c <> '' AND id IS NOT NULL)"""
+P2_RECORDS_SQL = f"""
+WITH d AS (SELECT 'tasks' AS table_name, task_index AS id, {_CANONICAL.format("task")} AS c, [coalesce(task, '')] AS raw FROM tasks
+      UNION ALL SELECT 'annotations', annotation_id, array_to_string(list_sort(list_filter([{", ".join(_CANONICAL.format(f"coalesce(language_instruction{x}, '')") for x in ("", "_2", "_3"))}], lambda x: x <> '')), chr(1)),
+             [{", ".join(f"coalesce(language_instruction{x}, '')" for x in ("", "_2", "_3"))}] FROM annotations)
+SELECT table_name, min(id) AS keep_id, CAST(count(DISTINCT (id, raw)) AS BIGINT) AS n_records, CAST(count(*) AS BIGINT) AS n_rows FROM d WHERE c <> '' AND id IS NOT NULL GROUP BY table_name, c
+"""
 P2_SQL = f"WITH {_P2_KEYS} SELECT DISTINCT table_name, keep_id, id AS copy_id FROM g WHERE id <> keep_id"
 
 
@@ -135,6 +141,11 @@ def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.splits(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "tasks"))
 
 
+def p6_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of all episodes and of each label that the splits reach, beside the targets."""
+    return splits.shares(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "tasks"))
+
+
 # 7: mixtures
 
 
@@ -193,8 +204,8 @@ def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p6_found": p6_found, "p6_splits": p6_splits, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_targets": p7_targets, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_pages": p10_pages, "p2_found": p2_found, "p2_records": p2_records, "p8_ids": p8_ids, "p3_found": p3_found, "p3_runs": lambda s, d: p3_runs(s, d).withColumn("duration", F.round("duration", 4)), "p5_percentiles": p5_percentiles, "p5_percentiles_by_day": p5_percentiles_by_day}
+    return {"p6_found": p6_found, "p6_splits": p6_splits, "p6_shares": p6_shares, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_targets": p7_targets, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_pages": p10_pages, "p2_found": p2_found, "p2_records": p2_records, "p8_ids": p8_ids, "p3_found": p3_found, "p3_runs": lambda s, d: p3_runs(s, d).withColumn("duration", F.round("duration", 4)), "p5_percentiles": p5_percentiles, "p5_percentiles_by_day": p5_percentiles_by_day}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_SQL, "p7_targets": P7_TARGETS_SQL, "p6_found": P6_SQL, "p3_found": f"SELECT episode_index, first_frame, last_frame FROM ({P3_SQL})", "p3_runs": P3_SQL, "p5_percentiles": _p5_sql(), "p5_percentiles_by_day": _p5_sql()}
+    return {"p2_found": P2_SQL, "p2_records": P2_RECORDS_SQL, "p7_targets": P7_TARGETS_SQL, "p6_found": P6_SQL, "p3_found": f"SELECT episode_index, first_frame, last_frame FROM ({P3_SQL})", "p3_runs": P3_SQL, "p5_percentiles": _p5_sql(), "p5_percentiles_by_day": _p5_sql()}
