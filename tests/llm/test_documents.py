@@ -2,6 +2,7 @@
 
 import base64
 import random
+import time
 
 import numpy as np
 import pytest
@@ -118,3 +119,33 @@ def test_shares_add_up(spark):
     p = spam.pages(documents(spark, [*SPAM, *FINE])).collect()
     assert all(0 <= r.other_chars <= r.chars for r in p)
     assert all(r.main_shape is not None for r in p if r.other_chars)
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        lambda n: "-" + " " * n + "x", lambda n: "<a x>" * n + "/", lambda n: "[" * n + "](/", lambda n: "? " * n, lambda n: "a? " * n, lambda n: "a-" * n + "/", lambda n: "a." * n + "/ ", lambda n: "a | b | c" + " " * n + "d | e", lambda n: "a | b | c" + "\t" * n + "d",
+        lambda n: "(" * n + "1" * n, lambda n: "." + '"' * n + "x", lambda n: '"' + " " * n + "x", lambda n: ".)" * n, lambda n: "a'" * n, lambda n: "<br " * n + " | ; | ; ", lambda n: "<a x><b>" * n + "</a>/", lambda n: "![" * n + "/](", lambda n: "] " * n + "|;", lambda n: " -" * n + " |;", lambda n: "a|b|c" + " " * n + "d",
+    ],
+)
+def test_time_of_a_line_grows_with_its_length_only(line):
+    def seconds(n):
+        text, best = line(n), float("inf")
+        for _ in range(3):
+            began = time.perf_counter()
+            spam.segments(text)
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    assert seconds(16000) < 3.2 * seconds(8000) + 0.05
+    assert seconds(64000) < 20
+
+
+def test_few_shapes_decide():
+    """The same characters in many kinds of shapes are no spam, in few they are."""
+    link = "[buy this now](http://x.example/abc)"
+    assert spam.page("\n".join([link] * 20))[3] > 0.9 * spam.page("\n".join([link] * 20))[0]
+    mixed = [("list/few/lower", False, 10), *[(f"label/few/{k}", False, 10) for k in range(20)], ("sentence/line/few", True, 30)]
+    few = sorted((n for _, s, n in mixed if not s), reverse=True)[: spam.FEW]
+    assert sum(few) < spam.SHARE * sum(n for *_, n in mixed) < sum(n for _, s, n in mixed if not s)
+    assert spam.page("") == (0, 0, 0, 0, None)

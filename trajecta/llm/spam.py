@@ -1,12 +1,12 @@
 """Pages that are mainly repeated keywords, links or product tags.
 
 Every line is cut into segments, and every segment is reduced to a shape: its kind, a class of word counts, of capitals, of
-separators and of links. Shapes are grouped per page; a page is flagged when shapes that aren't sentences hold more than half
+separators and of links. Shapes are grouped per page; a page is flagged when few shapes (FEW) that aren't sentences hold more than half
 of its characters other than white space. Sentence shapes are those of prose, and of what machines and programmers write (logs,
 configurations, code), which is no spam either. A sentence that keeps repeating the same words counts as keywords.
 
 Defined cases: null, empty and blank texts are no case; each row is judged by itself and its whole text, so copies under other
-ids come out too; the same doc_id delivered twice comes out once; a null doc_id names no
+ids come out too; the same doc_id delivered twice comes out once, if any of its texts is a case; a null doc_id names no
 page; an empty table gives no rows; other columns are ignored.
 """
 
@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHARE = 0.5
+#: So many of a page's shapes other than sentences, the largest, must hold the share: spam repeats itself, while a page that is pieced
+#: together of many kinds of labels, lists and links is none.
+FEW = 6
 #: A segment repeats itself when so much of it is word pairs that come at least twice, or one word three times; where nothing
 #: comes three times, it takes MOSTLY, since a sentence may well repeat a phrase once.
 REPEATED, MOSTLY = 0.3, 0.7
@@ -29,18 +32,25 @@ LEAST_MIXED, DIFFERENT, ORDERS = 20, 0.35, 1.8
 #: A question of so few words stays with its answer.
 SHORT_QUESTION = 6
 LEAST_WORDS = 6
-LINK = r"<a\s[^>]*>.*?</a>|!?\[[^\]\n]*\]\([^)\s]*\)|https?://[^\s<>\"|]+|(?<![\w@.])(?:[\w-]+\.)+[a-z]{2,10}/[^\s<>\"|]*|(?<!\w)www\.[^\s<>\"|]+"
-SHAPES = "doc_id bigint, shape string, sentence boolean, chars bigint"
+#: Every part of these patterns is possessive or can't begin again within what it has passed, so that a line takes time in proportion
+#: to its length whatever it holds.
+LINK = r"<a\s[^<>]*+>(?:[^<]++|<(?!/?a\b))*+</a>|!?\[[^\[\]\n]*+\]\([^()\s]*+\)|https?://[^\s<>\"|]++|(?<![\w@.-])(?:[\w-]++\.)+[a-z]{2,10}/[^\s<>\"|]*+|(?<!\w)www\.[^\s<>\"|]++"
+PAGES = "doc_id bigint, chars bigint, other_chars bigint, other_shapes bigint, few_chars bigint, main_shape string"
 
 _link = re.compile(LINK, re.IGNORECASE)
 _word = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 _end = re.compile(r"(?<=[.!?…])[\"')\]]*\s+|(?<=[。！？])")
 _closed = re.compile(r"[.!?。！？…][\"')\]]*\s*$")
 _field = re.compile(r"\s*(?:[|;,/•·、；，\t]|\s[-–—>]+\s|\(\d+\)|\]\s*\[|(?<!\w)#(?=\w)|<br\s*/?>)\s*")
-_machine = re.compile(r"[{}=]|\w\(\w*\)?|\w\[\w|\"\s*:|^\s{4,}\S|^\t|^#\s|^\s*[\w.]+:\s*$|^\s*\W+\s*$|^\s*[\w.-]+\s*:\s*[\w.\[\]-]+\s*$")
+_call = re.compile(r"\w\(|\w\[\w")
+_quoted_key = re.compile(r"\"\s*+:")
+_indent = re.compile(r"\s{4,}+\S|\t|#\s")
+_setting = re.compile(r"\s*+[\w.]++:\s*+$|\s*+[\w.-]++\s*+:\s*+[\w.\[\]-]++\s*+$")
+_any_word = re.compile(r"\w")
+_spaces = re.compile(r"[^\S\t]{2,}+")
 _count = re.compile(r"\(\d+\)")
 _inner = re.compile(r"[\d,;:()，；：、]")
-_bullet = re.compile(r"^\s*(?:[-*•☐☑]|\d+[.)]|Step \d+:)\s+")
+_bullet = re.compile(r"^\s*+(?:[-*•☐☑]|\d++[.)]|Step \d++:)\s++")
 
 
 def _size(n: int) -> str:
@@ -84,17 +94,35 @@ def _capitals(t: str) -> str:
     return "upper" if t.isupper() else "title" if t.istitle() else "lower" if t[1:].islower() else "mixed"
 
 
+def _machine(line: str) -> bool:
+    """Whether the line is written by or for a machine, by its signs; patterns run only where their signs are."""
+    if "{" in line or "}" in line or "=" in line or not _any_word.search(line):
+        return True
+    if ("(" in line or "[" in line) and _call.search(line):
+        return True
+    if (line[0] == "#" or line[0].isspace()) and _indent.match(line):
+        return True
+    return ":" in line and bool(_setting.match(line) or ('"' in line and _quoted_key.search(line)))
+
+
 def _sentences(line: str) -> list[str]:
+    """Sentences, a short question together with what follows it."""
     parts = _end.split(line)
     if "?" not in line and "？" not in line:
         return parts
-    out: list[str] = []
+    out: list[list[str]] = []
+    asks, words = False, 0
     for p in parts:
-        if out and out[-1].rstrip().endswith(("?", "？")) and len(_word.findall(out[-1])) <= SHORT_QUESTION:
-            out[-1] = f"{out[-1]} {p}"
+        if asks and words <= SHORT_QUESTION:
+            out[-1].append(p)
         else:
-            out.append(p)
-    return out
+            out.append([p])
+            words, asks = 0, False
+        if words <= SHORT_QUESTION:
+            words += len(_word.findall(p))
+        if not p.isspace() and p:
+            asks = p.rstrip().endswith(("?", "？"))
+    return [" ".join(x) for x in out]
 
 
 def _shuffled(parts: list[list[str]]) -> bool:
@@ -133,7 +161,7 @@ def _segments(text: str) -> Iterator[tuple[str, bool, int, tuple[str, list[str]]
                 continue
             yield f"links/{_size(len(links))}/in text", False, sum(map(len, links)), None
         counted = "(" in rest and bool(_count.search(rest))
-        if not counted and (_machine.search(rest) or (d := sum(map(rest.count, DIGITS))) > DIGIT_PART * len(rest) and d > 0.45 * (len(_letters.sub("", rest)) + d)):
+        if not counted and (_machine(rest) or (d := sum(map(rest.count, DIGITS))) > DIGIT_PART * len(rest) and d > 0.45 * (len(_letters.sub("", rest)) + d)):
             yield "machine", True, _dense(rest), None
             continue
         for part in _sentences(rest[m.end() :] if (m := _bullet.match(rest)) else rest):
@@ -144,7 +172,7 @@ def _segments(text: str) -> Iterator[tuple[str, bool, int, tuple[str, list[str]]
             closed = bool(_closed.search(part[-8:])) and not part.rstrip().endswith("...")
             k = 1
             if not closed and (sum(map(part.count, SEPARATORS)) > 1 or " - " in part or "<br" in part):
-                k = sum(not f.isspace() and f != "" for f in _field.split(part.strip(" #[]|")))
+                k = sum(not f.isspace() and f != "" for f in _field.split(_spaces.sub(" ", part).strip(" #[]|")))
                 strong = "|" in part or "#" in part or "[" in part or counted or (";" in part and "; " not in part) or " / " in part
                 if (k >= 3 and strong or k >= 5) and len(w) <= 5.5 * k:
                     yield f"list/{_size(k)}/{_capitals(part)}", False, n, None
@@ -157,36 +185,40 @@ def _segments(text: str) -> Iterator[tuple[str, bool, int, tuple[str, list[str]]
                 yield f"sentence/{_size(len(w))}/{_size(k)}", True, n, (part, w)
 
 
-def page_shapes(documents: DataFrame) -> DataFrame:
-    """Characters of each page by shape."""
+def page(text: str) -> tuple[int, int, int, int, str | None]:
+    """Characters, those in shapes that aren't sentences, the number of such shapes, the characters in the FEW largest, the largest."""
+    chars, other = 0, Counter()
+    for shape, sentence, n in segments(text):
+        chars += n
+        if not sentence:
+            other[shape] += n
+    most = sorted(other.items(), key=lambda x: (-x[1], x[0]))
+    return chars, other.total(), len(other), sum(n for _, n in most[:FEW]), most[0][0] if most else None
+
+
+def judged(documents: DataFrame) -> DataFrame:
+    """The measures of each row with an id and a text; nothing is shuffled."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                t = text.as_py()
-                if t:
-                    sums: Counter = Counter()
-                    for shape, sentence, n in segments(t):
-                        sums[shape, sentence] += n
-                    rows += [(doc, shape, sentence, n) for (shape, sentence), n in sums.items()]
+            rows = [(doc, *page(t)) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)) if (t := text.as_py())]
             if rows:
-                cols = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.bool_(), pa.int64()))], names=["doc_id", "shape", "sentence", "chars"])
+                types = (*[pa.int64()] * 5, pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[z.split()[0] for z in PAGES.split(", ")])
 
-    return documents.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, SHAPES)
+    return documents.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, PAGES)
 
 
 def pages(documents: DataFrame) -> DataFrame:
-    """Per page: characters, those of shapes that aren't sentences, how many such shapes, and the largest of them."""
-    other = ~F.col("sentence")
-    return page_shapes(documents).groupBy("doc_id").agg(
-        F.sum("chars").alias("chars"), F.sum(F.when(other, F.col("chars")).otherwise(0)).alias("other_chars"), F.count_distinct(F.when(other, F.col("shape"))).alias("other_shapes"), F.max_by("shape", F.when(other, F.col("chars"))).alias("main_shape")
-    )
+    """Per page: characters, those of shapes that aren't sentences, how many such shapes, what the FEW largest hold, and the largest of
+    them; of several texts of a doc_id the one with the most characters in few shapes."""
+    names = [z.split()[0] for z in PAGES.split(", ")]
+    rest = F.struct("few_chars", "chars", *[n for n in names if n not in ("doc_id", "few_chars", "chars")])
+    return judged(documents).groupBy("doc_id").agg(F.max(rest).alias("p")).select(*[F.col(n if n == "doc_id" else f"p.{n}").alias(n) for n in names])
 
 
 def flagged(documents: DataFrame) -> DataFrame:
-    """The doc_id of each page more than half of which isn't sentences."""
-    return pages(documents).where(F.col("other_chars") > SHARE * F.col("chars")).select("doc_id")
+    """The doc_id of each page more than half of which is in few shapes that aren't sentences."""
+    return judged(documents).where(F.col("few_chars") > SHARE * F.col("chars")).select("doc_id").distinct()
