@@ -137,8 +137,7 @@ def test_time_of_a_line_grows_with_its_length_only(line):
             best = min(best, time.perf_counter() - began)
         return best
 
-    assert seconds(16000) < 3.2 * seconds(8000) + 0.05
-    assert seconds(64000) < 20
+    assert seconds(32000) < 10 * seconds(8000) + 0.3  # four times the length; squared it would be 16
 
 
 def test_few_shapes_decide():

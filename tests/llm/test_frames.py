@@ -86,3 +86,28 @@ def test_bucket_error():
     back = np.where(c == 0, 0, np.sign(c) * 2 * np.exp((np.abs(c) - percentiles.OFFSET) * math.log(g)) / (g + 1))
     assert (np.abs(back - v) <= 0.01 * np.abs(v) * (1 + 1e-9)).all()
     assert (np.diff(c[np.argsort(v)]) >= 0).all()
+
+
+def test_events_are_canonical():
+    """Equal poses have one symbol wherever they come; what the expression finds needs no comparison, what lies across a border does."""
+    a, b = np.full(14, 0.5), np.full(14, 0.7)
+    x = np.stack([a, a + 1e-5, b, a, a, a + 3.0, np.full(14, np.nan), np.full(14, np.nan), np.full(14, 1e12), np.full(14, 1e12)])
+    n = runs.events(x)
+    assert n[0] == n[1] == n[3] == n[4] and len({n[0], n[2], *n[5:]}) == 7
+    assert runs.repetitions(n) == [(0, 2), (3, 5)]
+    assert runs.spans(x, n) == [(0, 2), (3, 5), (8, 10)]  # huge poses have no cell, they are compared
+    creep = np.cumsum(np.full((400, 14), 0.0015), axis=0)
+    n = runs.events(creep)
+    assert 0 < sum(j - i for i, j in runs.repetitions(n)) < 400 and runs.spans(creep, n) == [(0, 400)]
+    jump = creep.copy()
+    jump[200:] += 0.0006
+    assert runs.spans(jump, runs.events(jump)) == [(0, 200), (200, 400)]
+
+
+def test_cells_are_narrower_than_the_tolerance():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.integers(-4000, 4000, (30000, 1)) * 0.002 + rng.choice([0, 1e-12, -1e-12, 0.0019, 0.00199], (30000, 1)), rng.uniform(-1e9, 1e9, (3000, 1)).repeat(2, axis=0) + rng.uniform(0, 0.003, (6000, 1))])
+    x = x[np.argsort(x[:, 0])]
+    n = runs.events(x)
+    same = n[1:] == n[:-1]
+    assert same.any() and runs._near(x[1:], x[:-1])[same].all()

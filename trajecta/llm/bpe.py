@@ -18,7 +18,9 @@ from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The vocabulary file where the session's setting VOCABULARY_SETTING names none.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+VOCABULARY_SETTING = "spark.trajecta.vocabulary"
 #: Fixed value: the public pattern that splits texts before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words a worker remembers; beyond, it starts anew. Results don't depend on it.
@@ -149,12 +151,12 @@ def portions(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def shared_vocabulary(spark: SparkSession, path: str = VOCABULARY):
-    """The vocabulary of the file as a broadcast variable: some 50,000 entries, whatever the data."""
-    return spark.sparkContext.broadcast(read_vocabulary(path))
+def shared_vocabulary(spark: SparkSession, path: str | None = None):
+    """The vocabulary of the file (read by the driver alone) as a broadcast variable: some 50,000 entries, whatever the data."""
+    return spark.sparkContext.broadcast(read_vocabulary(path or spark.conf.get(VOCABULARY_SETTING, VOCABULARY)))
 
 
-def token_ids(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
+def token_ids(documents: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and ids (array<int>) of each row."""
     vocabulary = shared_vocabulary(documents.sparkSession, path)
 

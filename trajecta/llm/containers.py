@@ -23,11 +23,14 @@ from trajecta.session import materialize
 
 CAPACITY = 2048
 DIMS, BITS = 4, 10
-WINDOW = 4096
+#: On 10,000 texts 4096 fills 99.89 % of the room with a mean reach of 0.20 of the curve, 1024 99.85 % and 0.05, 256 99.69 % and 0.02.
+WINDOW = 1024
 #: Tokens packed by one task.
 TOKENS_A_TASK = CAPACITY * 2000
 SEED = 20240229
-PLACED = "doc_id bigint, piece bigint, first_token bigint, n_tokens bigint, container_id bigint"
+#: Rows of the table of pseudorandom vectors; token ids are hashed to them, whatever the vocabulary's size.
+VECTORS = 1 << 16
+PLACED = "doc_id bigint, piece bigint, first_token bigint, n_tokens bigint, container_id bigint, curve_key bigint"
 
 
 def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -61,11 +64,11 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def _cells(ids: list[np.ndarray], table: np.ndarray) -> np.ndarray:
     """Grid cell of each token list: the projected sum over its root size is near normal, the normal's shape spreads it evenly."""
-    sums = np.stack([table[x].sum(axis=0) / max(1.0, len(x) ** 0.5) if len(x) else np.zeros(DIMS) for x in ids])
+    sums = np.stack([table[x * 40503 % VECTORS].sum(axis=0) / max(1.0, len(x) ** 0.5) if len(x) else np.zeros(DIMS) for x in ids])
     return np.minimum(((np.tanh(sums * 0.8) + 1) / 2 * (1 << BITS)).astype("i8"), (1 << BITS) - 1)
 
 
-def sized(documents: DataFrame, path: str = bpe.VOCABULARY) -> DataFrame:
+def sized(documents: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and curve key of each row."""
     vocabulary = bpe.shared_vocabulary(documents.sparkSession, path)
 
@@ -73,7 +76,7 @@ def sized(documents: DataFrame, path: str = bpe.VOCABULARY) -> DataFrame:
         import pyarrow as pa
 
         encoder = bpe.Encoder(*vocabulary.value)
-        table = np.random.default_rng(SEED).standard_normal((1 << bpe.SHIFT - 4, DIMS))
+        table = np.random.default_rng(SEED).standard_normal((VECTORS, DIMS))
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in bpe.portions(texts):
@@ -115,7 +118,7 @@ class Packer:
         return c
 
 
-def containers(documents: DataFrame, capacity: int = CAPACITY, path: str = bpe.VOCABULARY) -> DataFrame:
+def containers(documents: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """The container of each text, or of each piece of a text above the capacity, with the tokens it covers."""
     items = materialize(sized(documents, path), "p9-sizes")
     total = items.agg(F.sum("n_tokens")).head()[0] or 0
@@ -126,23 +129,23 @@ def containers(documents: DataFrame, capacity: int = CAPACITY, path: str = bpe.V
 
         base = TaskContext.get().partitionId() << 40
         packer = Packer(capacity)
-        held: list[tuple[int, int]] = []
+        held: list[tuple[int, int, int]] = []
 
-        def pack(stretch: list[tuple[int, int]]):
+        def pack(stretch: list[tuple[int, int, int]]):
             rows = []
             pieces = []
-            for doc, n in stretch:
+            for doc, n, key in stretch:
                 full = n // capacity if n > capacity else 0
                 for k in range(full):
-                    rows.append((doc, k, k * capacity, capacity, base + packer.new()))
+                    rows.append((doc, k, k * capacity, capacity, base + packer.new(), key))
                 if n - full * capacity or not full:
-                    pieces.append((n - full * capacity, doc, full))
+                    pieces.append((n - full * capacity, doc, full, key))
             pieces.sort(key=lambda p: -p[0])
-            rows += [(doc, k, k * capacity, n, base + packer.place(n)) for n, doc, k in pieces]
+            rows += [(doc, k, k * capacity, n, base + packer.place(n), key) for n, doc, k, key in pieces]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=[z.split()[0] for z in PLACED.split(", ")])
 
         for batch in batches:
-            held += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            held += zip(*(c.to_pylist() for c in batch.columns))
             while len(held) >= WINDOW:
                 yield pack(held[:WINDOW])
                 held = held[WINDOW:]
@@ -151,11 +154,12 @@ def containers(documents: DataFrame, capacity: int = CAPACITY, path: str = bpe.V
 
     tasks = max(1, -(-total // TOKENS_A_TASK))
     along = items.repartitionByRange(tasks, "key", "doc_id").sortWithinPartitions("key", "doc_id") if tasks > 1 else items.coalesce(1).sortWithinPartitions("key", "doc_id")
-    return along.select("doc_id", "n_tokens").mapInArrow(run, PLACED)
+    return along.select("doc_id", "n_tokens", "key").mapInArrow(run, PLACED)
 
 
 def fill_report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row: containers used, the least number possible by volume, tokens, and the part of the room that is filled."""
-    used = placed.groupBy("container_id").agg(F.sum("n_tokens").alias("n"))
-    r = used.agg(F.count("*").alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"))
+    """One row: containers used, the least number possible by volume, tokens, the part of the room that is filled, and how far along the
+    curve a container reaches from its first text to its last, as a part of the curve: the mean over containers of several texts."""
+    used = placed.groupBy("container_id").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("texts"), (F.max("curve_key") - F.min("curve_key")).alias("reach"))
+    r = used.agg(F.count("*").alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"), F.avg(F.when(F.col("texts") > 1, F.col("reach") / float(1 << DIMS * BITS))).alias("reach"))
     return r.withColumns({"least_possible": F.ceil(F.col("tokens") / capacity), "filled": F.col("tokens") / (F.col("containers") * capacity)})

@@ -3,7 +3,9 @@
 A reading v > 0 falls into bucket i = ceil(ln v / ln g), g = (1 + a) / (1 - a); the bucket's value 2 g^i / (g + 1) is within
 the share a of every reading in it. Negative readings have mirrored buckets, zero has its own. Counts of the same bucket add
 up over partitions and days, so sketches made apart merge without loss. A percentile is the linear interpolation between the
-two neighbouring order statistics, each within the share a of the true one.
+two neighbouring order statistics, each within the share a of the true one. So it is within the share a of the true percentile where
+both have the same sign; where they lie on both sides of zero, the true percentile may be anything between them, and the error is
+within the share a of the larger of their sizes.
 
 Defined cases: each (episode_index, frame_index) counts once, the first ingested; nulls, NaN and infinities aren't counted;
 a group without finite readings gives no row; a null dataset_path or recorded_at is a group or day of its own; an empty

@@ -1,9 +1,11 @@
 """Runs of near-identical successive frames, each collapsed into one event.
 
-Every frame is mapped to a symbol: a Unicode code point that stays while successive frames are near-identical and changes
-where they aren't. The symbols of an episode (of each block of frames of a long one) make a string, a regular expression
-with a backreference finds the repetitions, and the spans are mapped back to frames and seconds. Runs that touch the border
-of two blocks of an episode are joined in a second, small step that streams over the block ends.
+Every frame is brought to a canonical event, the cell of a grid that its pose lies in, and every event to a symbol: a Unicode code
+point, the same wherever the episode comes back to that cell. The symbols of an episode (of each block of frames of a long one) make a
+string, and a regular expression with a backreference finds the repetitions: frames of one cell are near-identical, since a cell is
+narrower than the tolerance. Poses that creep over a cell's border end a repetition though they stay near-identical; so where two
+spans (or single frames) meet, and only there, the two frames are compared and the spans joined. The spans are mapped back to frames
+and seconds. Runs that touch the border of two blocks of an episode are joined in a second, small step that streams over the block ends.
 
 Defined cases: each (episode_index, frame_index) counts once, the first ingested; rows without either are left out; a null,
 NaN or infinite component differs from everything; a null ts_sec at either end gives a null duration; a single frame is no
@@ -19,12 +21,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajecta.functions.packing import CHUNK, Block, bucket_count, is_null, packed, per_bucket
+from trajecta.functions.packing import CHUNK, Block, bucket_count, is_null, mix, packed, per_bucket
 
 FIELDS = (("joint_position", 7), ("cartesian_position", 6), ("gripper_position", 1))
 TOLERANCE = 0.002
-#: Code points of the symbols: a plane without surrogates; they come round again far from where they were used.
-FIRST_SYMBOL, SYMBOLS = 0x10000, 0x80000
+#: Width of a cell: less than the tolerance by more than any rounding.
+CELL, HUGE = 0.0019, 1e9
+#: Code points of the symbols, those above the planes with surrogates; a unit of more different events is cut.
+FIRST_SYMBOL, SYMBOLS = 0x10000, 0x100000
 REPETITION = r"(.)\1+"
 
 RUNS = "episode_index bigint, first_frame bigint, last_frame bigint, n_frames bigint, duration double"
@@ -37,9 +41,44 @@ def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (np.abs(a - b) <= TOLERANCE).all(axis=-1)
 
 
-def _spans(symbols: np.ndarray) -> list[tuple[int, int]]:
-    text = symbols.astype("<u4").tobytes().decode("utf-32-le")
-    return [m.span() for m in re.finditer(REPETITION, text, re.DOTALL)]
+def events(x: np.ndarray) -> np.ndarray:
+    """Number of the canonical event of each row: rows of the same cell have the same; a row with a null, non-finite or huge component
+    (no cell is narrower than the tolerance out there) has its own."""
+    with np.errstate(invalid="ignore"):
+        fine = (np.abs(x) < HUGE).all(axis=1)
+    cells = np.floor(np.where(fine[:, None], x, 0) / CELL).astype("i8")
+    h = np.zeros(len(x), "u8")
+    for c in cells.T:
+        h = mix(h, c)
+    _, first, out = np.unique(h, return_index=True, return_inverse=True)
+    out = out.reshape(-1).astype("i8")
+    if not (cells == cells[first[out]]).all():  # two cells of one hash
+        out = np.unique(cells, axis=0, return_inverse=True)[1].reshape(-1).astype("i8")
+    out[~fine] = len(x) + np.arange(len(x))[~fine]
+    return out
+
+
+def symbols(numbers: np.ndarray) -> str:
+    """The string of an entity's events, one code point for each different one."""
+    codes = np.unique(numbers, return_inverse=True)[1].reshape(-1)
+    return (FIRST_SYMBOL + codes).astype("<u4").tobytes().decode("utf-32-le")
+
+
+def repetitions(numbers: np.ndarray) -> list[tuple[int, int]]:
+    """Spans of two or more equal successive events, as the regular expression finds them."""
+    return [(lo + a, lo + b) for lo in range(0, len(numbers), SYMBOLS) for a, b in (m.span() for m in re.finditer(REPETITION, symbols(numbers[lo : lo + SYMBOLS]), re.DOTALL))]
+
+
+def spans(x: np.ndarray, numbers: np.ndarray) -> list[tuple[int, int]]:
+    """Longest runs of near-identical successive rows: the repetitions, joined where the rows at which two meet are near-identical."""
+    cuts = np.ones(len(x) + 1, bool)  # where a repetition or a single row begins
+    for a, b in repetitions(numbers):
+        cuts[a + 1 : b] = False
+    meet = np.flatnonzero(cuts[1:-1]) + 1
+    cuts[meet[_near(x[meet], x[meet - 1])]] = False
+    at = np.flatnonzero(cuts)
+    long = np.diff(at) > 1
+    return list(zip(at[:-1][long].tolist(), at[1:][long].tolist()))
 
 
 def _find(chunk: int, several: bool):
@@ -53,9 +92,7 @@ def _find(chunk: int, several: bool):
         n = len(b.ep)
         new = np.ones(n, bool)
         new[1:] = (b.ep[1:] != b.ep[:-1]) | (part[1:] != part[:-1])
-        differs = new.copy()
-        differs[1:] |= ~_near(x[1:], x[:-1])
-        symbols = FIRST_SYMBOL + np.cumsum(differs) % SYMBOLS
+        numbers = events(x)
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], n)
         rows: list[tuple] = []
@@ -66,14 +103,14 @@ def _find(chunk: int, several: bool):
             rows.append((kind, int(b.ep[lo]), int(part[lo]), int(b.fr[i]), int(b.fr[j - 1]), j - i, ts[i], ts[j - 1], x[lo].tobytes() if ends_of and i == lo else None, x[hi - 1].tobytes() if ends_of and j == hi else None))
 
         for lo, hi in zip(starts, ends):
-            spans = [(lo + i, lo + j) for i, j in _spans(symbols[lo:hi])]
+            runs = [(lo + i, lo + j) for i, j in spans(x[lo:hi], numbers[lo:hi])]
             if not several:
-                for i, j in spans:
+                for i, j in runs:
                     add(RUN, i, j, lo, hi)
                 continue
-            head = spans[0] if spans and spans[0][0] == lo else (lo, lo + 1)
-            tail = spans[-1] if spans and spans[-1][1] == hi else (hi - 1, hi)
-            for i, j in spans:
+            head = runs[0] if runs and runs[0][0] == lo else (lo, lo + 1)
+            tail = runs[-1] if runs and runs[-1][1] == hi else (hi - 1, hi)
+            for i, j in runs:
                 if i > lo and j < hi:
                     add(RUN, i, j, lo, hi)
             if head[1] == hi:
