@@ -97,3 +97,21 @@ def test_excursion():
     x = np.array([0.0, 0, 5, 5, 0, 0])
     assert spikes.excursion(x, seg).tolist()[2:4] == [5.0, 5.0]
     assert spikes.excursion(np.array([1.0]), seg[:1])[0] == -np.inf
+
+
+def test_the_fitted_cutoff_decides_what_is_judged():
+    rng = np.random.default_rng(5)
+    exc, usual, limit = rng.lognormal(0, 2, 5000), rng.choice([0.1, 0.3, 1e6], 5000), rng.choice([7.0, 90.0, np.inf], 5000)
+    exc[:10] = -np.inf
+    residual, lowered = exc - usual, limit - usual
+    count = [len(spikes.candidates(residual, np.full(5000, s), lowered)) for s in (-2e6, -5.0, 0.5, 3.0, 8.0, 1e9)]
+    assert count[0] == 4990 and count == sorted(count, reverse=True) and len(set(count)) == 6
+    for s in (-5.0, 0.5, 8.0, 1e9):
+        kept = set(spikes.candidates(residual, np.full(5000, s), lowered))
+        assert set(np.flatnonzero(exc > limit)) <= kept
+
+
+def test_cutoffs(spark):
+    got = {(r.robot_id, r.field_name, r.dim): r for r in spikes.cutoffs(frames(spark, make(0)), *tables(spark)).collect()}
+    assert all(r.screen is None or r.tail_cutoff >= r.screen >= r.threshold for r in got.values())
+    assert any(r.screen is not None and not r.screen_lowered for r in got.values() if r.rule)

@@ -2,9 +2,10 @@
 
 The statistic of a reading is its excursion: how far it stands out, on one side, from a reading before and one after
 within four rows. Per source (robot_id), field and dim the excursions, less the usual level of the source's time of
-day, have a generalized Pareto fitted to their peaks over a high threshold; readings beyond the cutoff of fixed risk
-are tail readings. The rule of the data (six times the 95th percentile of the change between successive readings, or a
-tenth of range_max) is checked on the readings beyond the smaller of both cutoffs, so no case of the rule is missed.
+day, have a generalized Pareto fitted to their peaks over a high threshold, which gives a cutoff for any risk. Readings beyond the
+cutoff of risk SCREEN are candidates; the rule of the data (six times the 95th percentile of the change between successive
+readings, or a tenth of range_max) is judged on candidates alone. Readings beyond the far cutoff of risk RISK are tail readings. Where
+a fit lies so high that a case of the rule could stay below the screen, the screen is lowered to the rule's own limit less the level.
 
 Plan: one shuffle of compressed blocks (functions.packing), kept as a table in the shared folder; the 95th percentile
 is exact, by counts in 5 % wide buckets and then the values of the deciding bucket. Long episodes are spread over many
@@ -39,7 +40,7 @@ SEASONS, SEASON_HOURS = 4, 6
 CHANGE_WIDTH, EXCURSION_WIDTH = np.log(1.05), np.log(1.1)
 #: Datasets whose limits are broadcast (about 100 bytes each); with more the join is left to the optimizer.
 BROADCAST_DATASETS = 100_000
-PEAK_SHARE, RISK = 0.02, 1e-4
+PEAK_SHARE, SCREEN, RISK = 0.02, 0.01, 1e-4
 ZERO = -(2**31)
 NO_SOURCE = "\0"
 
@@ -263,6 +264,12 @@ def _edge_values(chunk: int):
     return run
 
 
+def candidates(residual: np.ndarray, screen: np.ndarray, lowered: np.ndarray) -> np.ndarray:
+    """Positions of the readings that the fitted cutoff lets through to the rule. lowered is where the rule's limit lies on the scale of
+    residuals; subtraction rounds monotonically, so >= loses no reading beyond the limit."""
+    return np.flatnonzero(residual >= np.minimum(screen, lowered))
+
+
 def _flag_rows(b: Block, x, bad, valid, seg, link_ok, near, cuts: dict) -> Iterator:
     """Flags of a block's readings. near(col, rows): which valid rows may be judged as spikes, or None for all."""
     import pyarrow as pa
@@ -272,18 +279,18 @@ def _flag_rows(b: Block, x, bad, valid, seg, link_ok, near, cuts: dict) -> Itera
     season = b.i[:, 0]
     grip = np.where(is_null(b.m[:, N + 11]), np.inf, GRIPPER_PART * b.m[:, N + 11])
     for c, (name, dim) in enumerate(COLUMNS):
-        rule, pot, level, moves = (np.array([cuts[n][k][c] for n in names]) for k in range(4))
+        rule, screen, pot, level, moves = (np.array([cuts[n][k][c] for n in names]) for k in range(5))
         at = np.flatnonzero(valid[:, c])
         exc = excursion(x[at, c], seg[at])
         usual = level[src[at], season[at]]
         limit = grip[at] if c == GRIPPER else rule[src[at]]
         residual = exc - usual
         tail = residual > pot[src[at]]
-        candidate = residual > np.minimum(pot[src[at]], limit - usual)
-        candidate |= exc > limit  # equal in exact arithmetic; keeps rounding from losing one
+        judged = candidates(residual, screen[src[at]], limit - usual)
         if (some := near(c, at)) is not None:
-            candidate, tail = candidate & some, tail & some
-        spike = candidate & (exc > limit)
+            judged, tail = judged[some[judged]], tail & some
+        spike = np.zeros(len(at), bool)
+        spike[judged] = exc[judged] > limit[judged]
         flags = np.zeros((len(b.ep), 4), bool)
         flags[:, 0] = bad[:, c]
         flags[at, 1], flags[at, 3] = spike, tail
@@ -298,16 +305,17 @@ def _flag_rows(b: Block, x, bad, valid, seg, link_ok, near, cuts: dict) -> Itera
 
 
 def _cuts(rows: list[dict] | None) -> tuple:
-    """Arrays over the columns: rule cutoff, tail cutoff, level by season, whether the dim ever changes."""
-    rule, pot, level, moves = np.full(N, np.inf), np.full(N, np.inf), np.zeros((N, SEASONS)), np.zeros(N)
+    """Arrays over the columns: rule cutoff, screening cutoff, tail cutoff, level by season, whether the dim ever changes."""
+    rule, screen, pot, level, moves = np.full(N, np.inf), np.full(N, np.inf), np.full(N, np.inf), np.zeros((N, SEASONS)), np.zeros(N)
     for r in rows or []:
         c = r["col"]
         rule[c] = np.inf if r["rule"] is None else r["rule"]
+        screen[c] = np.inf if r["screen"] is None else r["screen"]
         pot[c] = np.inf if r["pot"] is None else r["pot"]
         moves[c] = bool(r["moves"])
         for s, v in enumerate(r["level"] or []):
             level[c, s] = v or 0.0
-    return rule, pot, level, moves
+    return rule, screen, pot, level, moves
 
 
 def _flag_series(chunk: int):
@@ -348,7 +356,7 @@ def _flag_borders(chunk: int):
 
 
 def _tail_cutoffs(excursions: DataFrame) -> DataFrame:
-    """Per source and column: generalized Pareto cutoff of risk RISK over the seasonal residuals, and the seasons' levels."""
+    """Per source and column: generalized Pareto cutoffs of the risks SCREEN and RISK over the seasonal residuals, and the seasons' levels."""
     # counts are summed before they are shuffled; all windows then lie within (source, col) and share one exchange
     x = excursions.groupBy("source", "col", "season", "lb").agg(F.sum("cnt").alias("cnt"))
     mid = F.when(F.col("lb") == ZERO, 0.0).otherwise(F.exp((F.col("lb") + 0.5) * float(EXCURSION_WIDTH)))
@@ -367,9 +375,13 @@ def _tail_cutoffs(excursions: DataFrame) -> DataFrame:
     s2 = F.greatest(F.col("m2") - F.col("m") * F.col("m"), F.lit(1e-18))
     ratio = F.col("m") * F.col("m") / s2
     fit = fit.withColumn("xi", F.greatest(F.lit(-0.5), F.least(F.lit(0.5), 0.5 * (1 - ratio)))).withColumn("sigma", F.col("m") * (1 - F.col("xi")))
-    part = F.lit(RISK) * F.col("n") / F.col("nu")
-    grown = F.when(F.abs("xi") < 1e-6, -F.log(part)).otherwise((F.pow(part, -F.col("xi")) - 1) / F.col("xi"))
-    return fit.select("source", "col", "level", (F.col("u") + F.col("sigma") * F.greatest(grown, F.lit(0.0))).alias("pot"))
+
+    def cutoff(risk: float):
+        part = F.lit(risk) * F.col("n") / F.col("nu")
+        grown = F.when(F.abs("xi") < 1e-6, -F.log(part)).otherwise((F.pow(part, -F.col("xi")) - 1) / F.col("xi"))
+        return F.col("u") + F.col("sigma") * F.greatest(grown, F.lit(0.0))
+
+    return fit.select("source", "col", "level", "n", "u", "xi", "sigma", cutoff(SCREEN).alias("screen"), cutoff(RISK).alias("pot"))
 
 
 def _rule_cutoffs(changes: DataFrame, values) -> DataFrame:
@@ -389,8 +401,8 @@ def _rule_cutoffs(changes: DataFrame, values) -> DataFrame:
     return q.select("source", "col", (FACTOR * (F.col("a") + F.col("part") * (F.col("b") - F.col("a")))).alias("rule"), "moves")
 
 
-def implausible_readings(frames: DataFrame, datasets: DataFrame, modality: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """One row per flagged reading: impossible, spike (the rule), stuck, tail (beyond the fitted cutoff)."""
+def _fitted(frames: DataFrame, datasets: DataFrame, modality: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+    """Stored series and block borders, the cutoffs of each source and column, and whether episodes may have several blocks."""
     spark = frames.sparkSession
     size = frames.agg(F.count("*"), F.max("frame_index"), F.min("frame_index")).head()
     buckets = bucket_count(frames, size[0])
@@ -405,9 +417,11 @@ def implausible_readings(frames: DataFrame, datasets: DataFrame, modality: DataF
     rows = frames.select("episode_index", "frame_index", "robot_id", "dataset_path", "ingested_at", "recorded_at", *[n for n, _ in FIELDS], "cartesian_position")
     rows = rows.join(limits, "dataset_path", "left")
     if long:
-        part = F.floor(F.col("frame_index") / chunk)
-        several = frames.select("episode_index", part.alias("part")).distinct().groupBy("episode_index").count().where("count > 1").select("episode_index", F.lit(1).alias("several"))
-        rows = rows.join(several, "episode_index", "left")
+        # keyed by (episode, block), so that the rows of the longest episode are many keys
+        rows = rows.withColumn("_part", F.floor(F.col("frame_index") / chunk))
+        parts = frames.select("episode_index", F.floor(F.col("frame_index") / chunk).alias("_part")).dropna().distinct()
+        parts = parts.withColumn("several", (F.count("*").over(Window.partitionBy("episode_index")) > 1).cast("int"))
+        rows = rows.join(parts.where("several = 1"), ["episode_index", "_part"], "left")
     else:
         rows = rows.withColumn("several", F.lit(0))
     rows = rows.withColumn("source", F.coalesce("robot_id", F.lit(NO_SOURCE))).withColumn("season", F.coalesce(F.floor(F.hour("recorded_at") / SEASON_HOURS), F.lit(0)))
@@ -429,11 +443,26 @@ def implausible_readings(frames: DataFrame, datasets: DataFrame, modality: DataF
             v = v.unionByName(_per_episode(edges, _edge_values(chunk), VALUES).join(wanted, ["source", "col", "lb"], "left_semi"))
         return v
 
-    cut = _tail_cutoffs(stored.where(F.col("kind") == EXCURSION)).join(_rule_cutoffs(changes, values), ["source", "col"], "left")
-    at = scratch(spark, "p1-cutoffs")
-    cut.coalesce(1).write.parquet(at)
-    cut = spark.read.schema(cut.schema).parquet(at)
-    cut_type = F.struct("source", "col", "rule", "pot", "moves", "level")
+    cut = materialize(_tail_cutoffs(stored.where(F.col("kind") == EXCURSION)).join(_rule_cutoffs(changes, values), ["source", "col"], "left"), "p1-cutoffs")
+    return series, edges, cut, bool(long)
+
+
+def cutoffs(frames: DataFrame, datasets: DataFrame, modality: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Per robot_id, field and dim: readings, the fitted Pareto (threshold, shape, scale), its cutoffs of the risks SCREEN and RISK, the
+    rule's cutoff (null for gripper_position, whose rule goes by range_max), and whether that lowers the screen in some season."""
+    cut = _fitted(frames, datasets, modality, chunk)[2]
+    names = F.array(*[F.struct(F.lit(n).alias("field_name"), F.lit(d).cast("long").alias("dim")) for n, d in COLUMNS])[F.col("col")]
+    rule = F.when(F.col("col") != GRIPPER, F.col("rule"))
+    return cut.select(
+        F.when(F.col("source") != NO_SOURCE, F.col("source")).alias("robot_id"), names["field_name"].alias("field_name"), names["dim"].alias("dim"), "n", F.col("u").alias("threshold"), F.col("xi").alias("shape"), F.col("sigma").alias("scale"), "screen", F.col("pot").alias("tail_cutoff"),
+        rule.alias("rule"), (rule - F.array_max("level") < F.col("screen")).alias("screen_lowered"),
+    )
+
+
+def implausible_readings(frames: DataFrame, datasets: DataFrame, modality: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """One row per flagged reading: impossible, spike (the rule, judged on the candidates), stuck, tail (beyond the far fitted cutoff)."""
+    series, edges, cut, long = _fitted(frames, datasets, modality, chunk)
+    cut_type = F.struct("source", "col", "rule", "screen", "pot", "moves", "level")
     by = cut.groupBy("source").agg(F.collect_list(cut_type).alias("cuts"))
     found = series.join(by, "source", "left").select("source", "payload", "cuts").mapInArrow(_flag_series(chunk), FLAGS)
     if long:

@@ -27,7 +27,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MOVED = " OR ".join(f"coalesce(NOT isnan(cartesian_position[{k}] - c0[{k}]) AND abs(cartesian_position[{k}] - c0[{k}]) > 0.002, false)" for k in range(1, 7))
 
-P1_SQL = f"""
+_P1_CASES = f"""
 WITH f AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY episode_index, frame_index ORDER BY ingested_at) AS rn
                  FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL) WHERE rn = 1),
@@ -57,10 +57,25 @@ e AS (
   SELECT *, coalesce(moved AND x = lag(x) OVER (PARTITION BY episode_index, field_name, dim ORDER BY frame_index) AND NOT isnan(x), false) AS linked FROM j),
 i AS (SELECT *, sum(CASE WHEN linked THEN 0 ELSE 1 END) OVER (PARTITION BY episode_index, field_name, dim ORDER BY frame_index) AS run FROM e),
 n AS (SELECT *, count(*) OVER (PARTITION BY episode_index, field_name, dim, run) AS rows_in FROM i),
-stuck AS (SELECT n.episode_index, frame_index, field_name, dim FROM n JOIN r USING (robot_id, field_name, dim) WHERE rows_in >= 15 AND moves)
+stuck AS (SELECT n.episode_index, frame_index, field_name, dim FROM n JOIN r USING (robot_id, field_name, dim) WHERE rows_in >= 15 AND moves)"""
+P1_SQL = f"""{_P1_CASES}
 SELECT episode_index, frame_index, field_name, dim FROM j WHERE bad
 UNION SELECT * FROM spike UNION SELECT * FROM stuck
 """
+P1_KINDS_SQL = f"""{_P1_CASES},
+a AS (SELECT episode_index, frame_index, field_name, dim, 1 AS kind FROM j WHERE bad UNION SELECT *, 2 FROM spike UNION SELECT *, 3 FROM stuck)
+SELECT episode_index, frame_index, field_name, dim, bool_or(kind = 1) AS impossible, bool_or(kind = 2) AS spike, bool_or(kind = 3) AS stuck FROM a GROUP BY ALL
+"""
+
+
+def p1_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What kind of case each found reading is."""
+    return p1_flags(spark, sf_dir).where("impossible OR spike OR stuck").select("episode_index", "frame_index", "field_name", "dim", "impossible", "spike", "stuck")
+
+
+def p1_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted tails and the rule's cutoffs by source, field and dim."""
+    return spikes.cutoffs(*(table(spark, sf_dir, t) for t in ("frames", "datasets", "modality")))
 
 
 def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +95,8 @@ def p4_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_flags": p1_flags, "p4_compacted": p4_compacted, "p4_files": p4_files}
+    return {"p1_found": p1_found, "p1_flags": p1_flags, "p1_kinds": p1_kinds, "p1_cutoffs": p1_cutoffs, "p4_compacted": p4_compacted, "p4_files": p4_files}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p4_compacted": P4_SQL}
+    return {"p1_found": P1_SQL, "p1_kinds": P1_KINDS_SQL, "p4_compacted": P4_SQL}
