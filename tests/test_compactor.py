@@ -2,7 +2,10 @@ import glob
 import os
 import shutil
 
+import pytest
+
 from frames_fixture import frames, make
+from trajecta.streaming import compactor
 from trajecta.streaming.compactor import compact, compacted
 
 
@@ -47,3 +50,35 @@ def test_no_rows(spark, tmp_path):
     assert compact(spark, src, str(tmp_path / "out"), str(tmp_path / "cp")).count() == 0
     shutil.rmtree(tmp_path / "out", ignore_errors=True)
     assert compacted(spark, str(tmp_path / "out"), frames(spark, []).schema).count() == 0
+
+
+def test_one_file_per_episode(spark, tmp_path):
+    """The delivered frames of the smallest tables, one tiny file an episode, in several batches by bytes: each frame once, as first ingested."""
+    src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    given = spark.read.parquet("/root/testdata/sf0.001/frames.parquet")
+    given.repartition(4, "episode_index").write.partitionBy("episode_index").parquet(f"{src}-by")
+    for k, p in enumerate(sorted(glob.glob(f"{src}-by/*/*.parquet"))):
+        e = int(p.split("episode_index=")[1].split("/")[0])
+        spark.read.parquet(p).selectExpr(f"{e}L AS episode_index", "*").select(given.columns).coalesce(1).write.mode("append").parquet(src)
+    n = len(glob.glob(f"{src}/*.parquet"))
+    got = compact(spark, src, out, cp, batch_bytes=150_000, order=("ingested_at",))
+    want = given.selectExpr("*", "row_number() OVER (PARTITION BY episode_index, frame_index ORDER BY ingested_at) AS r").where("r = 1").drop("r")
+    assert n >= 30 and len(glob.glob(f"{out}/_batch=*")) > 1 and len(glob.glob(f"{out}/*/*.parquet")) < n / 3
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_copies_over_batches_and_too_many_to_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(compactor, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(compactor, "BLOCK", 8)
+    test_batches_retry_and_new_files(spark, tmp_path)
+
+
+def test_files_are_as_many_as_cores_need():
+    mb = 1 << 20
+    assert [compactor._file_count(t * mb, 6, 128 * mb) for t in (0, 1, 60, 290, 900, 6 * 128, 7 * 128)] == [1, 1, 1, 6, 8, 6, 7]
+
+
+def test_a_position_is_an_integer(spark, tmp_path):
+    small_files(spark, tmp_path, 1)
+    with pytest.raises(ValueError):
+        compact(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), keys=("episode_index", "robot_id"))

@@ -14,7 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-P4_SQL = "SELECT DISTINCT episode_index, frame_index FROM frames"
+_P4_PLAIN = "dataset_path, robot_id, episode_index, frame_index, task_index, ts_sec, is_first, is_terminal, recorded_at, ingested_at"
+_P4_VECTORS = ("joint_position", "joint_velocity", "cartesian_position")
+#: Readings in ten-thousandths, null where not finite, so that both engines write them alike.
+P4_SQL = f"""
+SELECT {_P4_PLAIN}, {", ".join(f"list_transform({c}, lambda x: CASE WHEN isfinite(x) AND abs(x) < 1e12 THEN CAST(round(x * 10000) AS BIGINT) END) AS {c}" for c in _P4_VECTORS)},
+       {", ".join(f"CASE WHEN isfinite({c}) AND abs({c}) < 1e12 THEN CAST(round({c} * 10000) AS BIGINT) END AS {c}" for c in ("gripper_position", "next_reward"))}
+FROM frames QUALIFY row_number() OVER (PARTITION BY episode_index, frame_index ORDER BY ingested_at NULLS FIRST) = 1
+"""
 
 
 def p1_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,12 +87,14 @@ def p1_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = scratch(spark, "p4")
-    return compactor.compact(spark, f"{sf_dir}/frames.parquet", f"{at}/files", f"{at}/checkpoint")
+    return compactor.compact(spark, f"{sf_dir}/frames.parquet", f"{at}/files", f"{at}/checkpoint", order=("ingested_at",))
 
 
 def p4_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The key of every row in the compacted files, as they stand."""
-    return _compacted(spark, sf_dir).select("episode_index", "frame_index")
+    """Every row of the compacted files with all its columns, readings in ten-thousandths."""
+    units = lambda x: F.when((F.abs(x) < 1e12), F.round(x * 10000).cast("long"))  # noqa: E731  (NaN is above)
+    vectors = [F.transform(c, units).alias(c) for c in _P4_VECTORS]
+    return _compacted(spark, sf_dir).select(*_P4_PLAIN.split(", "), *vectors, *[units(F.col(c)).alias(c) for c in ("gripper_position", "next_reward")])
 
 
 def p4_files(spark: SparkSession, sf_dir: str) -> DataFrame:
