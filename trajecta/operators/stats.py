@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trajecta.operators.prefix import running
+from trajecta.operators.quantiles import with_quantiles
 
 STATS = ("mean", "std", "min", "max", "q01", "q99")
 
@@ -30,13 +31,16 @@ def tall(df: DataFrame, keys: list[str], features: list[str], single: bool = Fal
 
 
 def feature_stats(values: DataFrame, by: list[str], value: str = "value", accuracy: int | None = None) -> DataFrame:
-    """Population statistics of each group; nulls and NaN aren't counted.
+    """Population statistics of each group; nulls and NaN aren't counted, a group without others gives no row.
 
-    Quantiles are exact and interpolated; with accuracy they come from percentile_approx, whose state is bounded.
+    Quantiles are exact and interpolated, by two passes (operators.quantiles); with accuracy one pass gives those of percentile_approx.
     """
+    if accuracy is None:
+        return with_quantiles(values, by, value, {"q01": 0.01, "q99": 0.99})
     v = F.nanvl(F.col(value), F.lit(None).cast("double"))
-    q = (lambda p: F.percentile_approx(v, F.lit(p), F.lit(accuracy))) if accuracy else (lambda p: F.percentile(v, F.lit(p)))
-    return values.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), q(0.01).alias("q01"), q(0.99).alias("q99"))
+    q = lambda p: F.percentile_approx(v, F.lit(p), F.lit(accuracy))
+    out = values.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), q(0.01).alias("q01"), q(0.99).alias("q99"))
+    return out.where("n > 0")
 
 
 def relative_values(steps: DataFrame, action: str, state: str, horizon: int, variant: str = "loader", episode: str = "episode_index", frame: str = "frame_index") -> DataFrame:
@@ -73,11 +77,12 @@ def moments(values: DataFrame, by: list[str], value: str = "value") -> DataFrame
 
 
 def merged_moments(parts: DataFrame, by: list[str]) -> DataFrame:
-    """Moments of the union of the parts of each group."""
-    n = F.sum("n")
-    mean = F.sum(F.col("n") * F.col("mean")) / n
-    m2 = F.sum(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean")) - n * mean * mean
-    return parts.groupBy(*by).agg(n.alias("n"), mean.alias("mean"), F.greatest(m2, F.lit(0.0)).alias("m2"))
+    """Moments of the union of the parts of each group: the parts' own deviations and those of their means from the common mean, so that
+    no large squares cancel."""
+    w = Window.partitionBy(*by)
+    x = parts.withColumn("_mean", F.sum(F.col("n") * F.col("mean")).over(w) / F.sum("n").over(w))
+    off = F.col("mean") - F.col("_mean")
+    return x.groupBy(*by).agg(F.sum("n").alias("n"), F.max("_mean").alias("mean"), F.sum(F.when(F.col("n") > 0, F.col("m2") + F.col("n") * off * off)).alias("m2"))
 
 
 def summary(values: DataFrame, by: list[str], value: str) -> DataFrame:
