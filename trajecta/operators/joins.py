@@ -14,21 +14,26 @@ def looked_up(df: DataFrame, dictionary: DataFrame, key: str, text: str, default
     return x.withColumn(text, F.when(F.col("_known"), F.col("_text")).otherwise(missing)).drop("_text", "_known")
 
 
+def cells_of(intervals: DataFrame, steps: DataFrame, episode: str, frame: str, grid: int) -> DataFrame:
+    """Intervals [start, end) cut at multiples of grid: a row for each cell that one touches, no further than the frames of its own
+    episode reach. Those with a null bound or without a frame are left out."""
+    reach = steps.groupBy(episode).agg(F.max(frame).alias("_last"))
+    x = intervals.where("start IS NOT NULL AND `end` IS NOT NULL").join(reach, episode)
+    x = x.withColumn("start", F.greatest(F.lit(0), "start")).withColumn("end", F.least("end", F.col("_last") + 1)).drop("_last").where("start < `end`")
+    return x.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("start") / grid), F.floor((F.col("end") - 1) / grid))))
+
+
 def interval_labels(steps: DataFrame, intervals: DataFrame, episode: str, frame: str, label: str, default: str = "N/A", grid: int = 64) -> DataFrame:
     """Label of the last listed interval [max(0, start), min(length, end)) that holds a frame.
 
-    intervals: episode, ordinal, start, end, label; those with a null bound are skipped. Intervals are cut at multiples of grid,
-    so frames meet only those of their cell.
+    intervals: episode, ordinal, start, end, label; those with a null bound are skipped. The intervals of a cell are one row, so
+    frames are shuffled once, by cell.
     """
-    cells = intervals.where('start IS NOT NULL AND "end" IS NOT NULL'.replace('"end"', "`end`")).withColumn("start", F.greatest(F.lit(0), "start")).where("start < `end`")
-    # an interval reaches no further than the longest episode
-    longest = steps.agg(F.max(frame)).head()[0]
-    cells = cells.withColumn("end", F.least("end", F.lit((longest if longest is not None else -1) + 1))).where("start < `end`")
-    cells = cells.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("start") / grid), F.floor((F.col("end") - 1) / grid)))).select(episode, "_cell", "ordinal", "start", "end", F.col(label).alias("_label"))
-    x = steps.withColumn("_cell", F.floor(F.col(frame) / grid)).join(cells, [episode, "_cell"])
-    x = x.where((F.col(frame) >= F.col("start")) & (F.col(frame) < F.col("end")))
-    last = x.groupBy(episode, frame).agg(F.max_by("_label", "ordinal").alias(label))
-    return steps.join(last, [episode, frame], "left").withColumn(label, F.coalesce(F.col(label), F.lit(default)))
+    i = cells_of(intervals, steps, episode, frame, grid).groupBy(episode, "_cell").agg(F.collect_list(F.struct("ordinal", "start", "end", F.col(label).alias("label"))).alias("_i"))
+    x = steps.withColumn("_cell", F.floor(F.col(frame) / grid)).join(i, [episode, "_cell"], "left")
+    here = F.filter("_i", lambda k: (F.col(frame) >= k["start"]) & (F.col(frame) < k["end"]))
+    last = F.array_max(F.transform(here, lambda k: F.struct(k["ordinal"].alias("ordinal"), k["label"].alias("label"))))
+    return x.withColumn(label, F.coalesce(last["label"], F.lit(default))).drop("_i", "_cell")
 
 
 def nearest(left: DataFrame, right: DataFrame, by: list[str], time: str, ident: str) -> DataFrame:

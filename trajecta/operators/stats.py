@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from trajecta.operators.prefix import running
 from trajecta.operators.quantiles import with_quantiles
+from trajecta.session import materialize
 
 STATS = ("mean", "std", "min", "max", "q01", "q99")
 
@@ -109,7 +110,10 @@ def dictionary_sorted(df: DataFrame, text: str, main: str | None = None) -> Data
     x = df.where(F.col(text).isNotNull()).select(text).distinct()
     if main is not None:
         x = x.where(F.col(text) != main)
-    x = running(x.withColumn("_one", F.lit(1).cast("long")), F.substring(text, 1, 2), [text], {"_n": ("_one", "sum")})
+    parts = int(x.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written, since the sampled bounds of the ranges may differ from one evaluation to the next
+    x = materialize(x.repartitionByRange(parts, text).select(text, F.spark_partition_id().alias("_p"), F.lit(1).cast("long").alias("_one")), "dictionary")
+    x = running(x, F.col("_p"), [text], {"_n": ("_one", "sum")})
     x = x.select(text, (F.col("_n") - (1 if main is None else 0)).alias("id"))
     return x if main is None else x.unionByName(x.sparkSession.createDataFrame([(main, 0)], f"{text} string, id long"))
 
