@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trajecta.plans import common, row_queries, stats_queries, text_queries, vector_queries  # noqa: F401  (they register their queries)
+from trajecta.plans import common, draw_queries, row_queries, stats_queries, text_queries, vector_queries  # noqa: F401  (they register their queries)
 
 
 def queries() -> dict:
