@@ -83,3 +83,31 @@ def check_mode(mode: str, continuous: bool = True, rotation: str | None = None,
             raise ValueError("a relative key can't be rotated")
         if mode != "min_max" or rotation not in ROTATIONS:
             raise ValueError("a rotated key takes only min_max, with the bounds of its target")
+
+
+def out_of_range(x: Column, low: Column, high: Column, slack: float = 1e-5) -> Column:
+    """Whether min_max would clamp the value by more than slack of what it maps to: a reason to warn."""
+    return F.coalesce((low != high) & (F.abs(2 * (x - low) / (high - low) - 1) > 1 + slack), F.lit(False))
+
+
+def _by_horizon(f, mode: str, rows: Column, stats: dict[str, Column]) -> Column:
+    steps = F.size(next(iter(stats.values())))
+    fits = (F.size(rows) < steps) | (F.pmod(F.size(rows), steps) == 0)
+    whole = F.when(fits | rows.isNull(), rows).otherwise(F.raise_error(F.concat(F.lit("rows must be fewer than the horizon or a multiple of it, got "), F.size(rows).cast("string"))))
+
+    def row(v: Column, i: Column) -> Column:
+        h = F.pmod(i, steps)
+        return F.transform(v, lambda x, j: f(mode, x, {k: F.get(F.get(s, h), j) for k, s in stats.items()}))
+
+    return F.transform(whole, row)
+
+
+def normalized_by_horizon(mode: str, rows: Column, stats: dict[str, Column]) -> Column:
+    """Rows of vectors by mode, each row by the statistics of its step: stats has arrays of the horizon's steps by components. Rows are
+    one or several whole horizons, or the first steps of one."""
+    return _by_horizon(normalized, mode, rows, stats)
+
+
+def restored_by_horizon(mode: str, rows: Column, stats: dict[str, Column]) -> Column:
+    """Inverse of normalized_by_horizon, up to clamping."""
+    return _by_horizon(restored, mode, rows, stats)

@@ -13,11 +13,11 @@ from pyspark.sql.types import StringType
 MARKERS = {"lapa": "<LAPA>", "dream": "<DREAM>", "cotrain": "<COTRAIN>"}
 #: White space as Python's \s has it, as a class that Java and RE2 read alike.
 SPACES = r"\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-NOT_WORDS = rf"[^\p{{L}}\p{{N}}\p{{M}}_{SPACES}]"
+NOT_WORDS = rf"[^\p{{L}}\p{{N}}_{SPACES}]"
 
 
 def formalized(x: Column) -> Column:
-    """Lower case without anything but letters, marks, digits, underscores and white space, all of Unicode; null stays null."""
+    """Lower case without anything but letters, digits, underscores and white space, all of Unicode (combining marks go); null stays null."""
     return F.regexp_replace(F.lower(x), NOT_WORDS, "")
 
 
@@ -41,17 +41,29 @@ def without_markers(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
 
 
-def chosen(texts: Column, key: Column, default: str, seed: int = 0, dropout: float = 0.0) -> Column:
-    """One of an array's texts by a hash of key; the default for an empty array, and for the share dropout of keys."""
-    h = F.xxhash64(key, F.lit(seed))
-    drop = F.pmod(F.xxhash64(key, F.lit(seed + 1)), F.lit(1_000_000)) < int(dropout * 1_000_000)
-    return F.when((F.size(texts) < 1) | texts.isNull() | drop, F.lit(default)).otherwise(F.element_at(texts, (F.pmod(h, F.size(texts)) + 1).cast("int")))
+def chosen(texts: Column, key: Column, default: str, seed: int = 0, dropout: float = 0.0, training: bool = True, spread: Column | None = None, constant: bool = False) -> Column:
+    """One of an array's texts. In training, rows where spread holds (all, without it) take one by a hash of key and the share dropout
+    of keys gets the default; all others take the first. The default also stands for an empty array, and for all texts if constant."""
+    if constant:
+        return F.lit(default)
+    first = F.get(texts, F.lit(0))
+    if not training:
+        return F.when(F.size(texts) > 0, first).otherwise(F.lit(default))
+    u = lambda what: uniform(F.concat_ws(",", key, F.lit(seed), F.lit(what)))
+    by_hash = F.get(texts, F.floor(u("key") * F.size(texts)).cast("int"))
+    one = by_hash if spread is None else F.when(spread, by_hash).otherwise(first)
+    return F.when(F.coalesce(F.size(texts) < 1, F.lit(True)) | (u("dropout") < dropout), F.lit(default)).otherwise(one)
+
+
+#: A list literal whose first element is quoted (groups 1 and 2: what is within single and double quotes), or is a bare word (3).
+_LITERAL = r"""^\s*\[\s*(?:'((?:[^'\\]|\\.)*+)'|"((?:[^"\\]|\\.)*+)"|([^'"\[\],\s]++))\s*(?:,.*)?\]\s*$"""
 
 
 def first_of_literal(x: Column) -> Column:
-    """A text that is a list literal stands for its first element."""
-    inner = F.from_json(F.translate(x, "'", '"'), "array<string>")
-    return F.when(x.rlike(r"^\s*\["), F.coalesce(F.get(inner, F.lit(0)), x)).otherwise(x)
+    """A text that is a list literal stands for its first element, quotes of either kind and escapes within them read as such."""
+    pattern = "(?s)" + _LITERAL
+    inside = F.concat(*[F.regexp_extract(x, pattern, k) for k in (1, 2, 3)])
+    return F.when(x.rlike(pattern), F.regexp_replace(inside, r"\\(['\"\\])", "$1")).otherwise(x)
 
 
 def prompt(tag: Column, x: Column, templates: dict[str, str], default: str | None = None) -> Column:
@@ -90,11 +102,30 @@ def rate(x: Column) -> Column:
     return F.when(low != 0, high / low)
 
 
+def frame_estimate(frames: Column, duration: Column, fps: Column) -> Column:
+    """Frames of a probe, or where it counts none, those that fit into the duration."""
+    n = F.coalesce(frames, F.lit(0)).cast("long")
+    return F.when((n == 0) & (duration > 0), F.floor(duration * fps).cast("long")).otherwise(n)
+
+
+#: The signs of thousands, a blank for none.
+SIGNS = (" ", "K", "M", "B", "T")
+
+
 def readable_count(n: Column) -> Column:
-    """1234567 as 1.23M."""
-    return (
-        F.when(n >= 1e9, F.format_string("%.2fB", n / 1e9)).when(n >= 1e6, F.format_string("%.2fM", n / 1e6)).when(n >= 1e3, F.format_string("%.2fK", n / 1e3)).otherwise(F.format_string("%.0f", n.cast("double")))
-    )
+    """1234567 as "1.23 M": whole thousands cut, two digits of the rest where that is above a hundredth."""
+    digits = F.length(F.floor(n).cast("long").cast("string"))
+    group = F.least(F.ceil(digits / 3), F.lit(len(SIGNS))).cast("int")
+    factor = F.element_at(F.array(*[F.lit(10.0 ** (-3 * k)) for k in range(len(SIGNS))]), group)
+    v = n * factor
+    rest = v - F.floor(v)
+    decimals = F.when(rest > 0.01, F.regexp_replace(F.format_string("%.2f", rest), "^0+", "")).otherwise("")
+    return F.concat(F.format_number(F.floor(v), 0), decimals, F.lit(" "), F.element_at(F.array(*[F.lit(k) for k in SIGNS]), group))
+
+
+def scientific(x: Column, digits: int = 1, capital: bool = False) -> Column:
+    """0.0015 as "1.5e-3"; 0 as "0"."""
+    return F.when(x == 0, "0").otherwise(F.regexp_replace(F.format_string(f"%.{digits}e", x.cast("double")), "e-0", "E-" if capital else "e-"))
 
 
 def low_hash(x: Column) -> Column:
@@ -122,3 +153,8 @@ def white_space_tokens(x: Column, width: int) -> tuple[Column, Column]:
     """The first width words, padded with empty strings, and the mask of real ones."""
     tokens = F.slice(F.concat(white_space_words(x), F.array_repeat(F.lit(""), width)), 1, width)
     return tokens, F.transform(tokens, lambda w: w != "")
+
+
+def decoded(tokens: Column) -> Column:
+    """The text of white-space tokens, padding left out, words one space apart."""
+    return F.array_join(F.filter(tokens, lambda w: w != ""), " ")

@@ -35,9 +35,11 @@ def velocity_pair(velocity: Column) -> Column:
     return F.when(F.size(velocity) == 1, F.concat(velocity, F.array(F.lit(0.0)))).otherwise(F.slice(velocity, 1, 2))
 
 
-def checked(vector: Column, width: int, what: str) -> Column:
-    """The vector, or an error where it doesn't have width components."""
-    return F.when((F.size(vector) == width) | vector.isNull(), vector).otherwise(F.raise_error(F.concat(F.lit(f"{what}: {width} components expected, got "), F.size(vector).cast("string"))))
+def checked(vector: Column, width: int | list[int], what: str) -> Column:
+    """The vector, or an error where it has none of the widths allowed."""
+    widths = [width] if isinstance(width, int) else width
+    message = F.concat(F.lit(f"{what}: {' or '.join(map(str, widths))} components expected, got "), F.size(vector).cast("string"))
+    return F.when(F.size(vector).isin(widths) | vector.isNull(), vector).otherwise(F.raise_error(message))
 
 
 def split(vector: Column, widths: list[tuple[str, int]]) -> dict[str, Column]:
@@ -61,6 +63,36 @@ def pad_mask(vector: Column, width: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: i < n)
 
 
+def action_rows(rows: Column, horizon: int, width: int) -> tuple[Column, Column]:
+    """Rows of an action padded with zeros to width, and the mask of what is the action's; zeros and no mask over horizon rows for a null
+    action. Rows that aren't a multiple of the horizon, or are longer than width, are an error."""
+    n, most = F.size(rows), F.array_max(F.transform(rows, F.size))
+    checked_rows = F.when(F.pmod(n, F.lit(horizon)) != 0, F.raise_error(F.concat(F.lit(f"rows must be a multiple of {horizon}, got "), n.cast("string"))))
+    checked_rows = checked_rows.when(most > width, F.raise_error(F.concat(F.lit(f"at most {width} components, got "), most.cast("string")))).otherwise(rows)
+    none = F.array_repeat(F.array_repeat(F.lit(0.0), width), horizon)
+    nothing = F.array_repeat(F.array_repeat(F.lit(False), width), horizon)
+    return F.when(rows.isNull(), none).otherwise(F.transform(checked_rows, lambda v: padded(v, width))), F.when(rows.isNull(), nothing).otherwise(F.transform(rows, lambda v: pad_mask(v, width)))
+
+
+def equal_parts(rows: Column, parts: int, strict: bool = False) -> Column:
+    """An array in parts of equal size, the first ones one longer where it doesn't divide; that is an error if strict."""
+    n = F.size(rows)
+    short = F.floor(n / parts)
+    longer = n - short * parts
+    out = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.slice(rows, (k * short + F.least(k, longer) + 1).cast("int"), (short + F.when(k < longer, 1).otherwise(0)).cast("int")))
+    return F.when(longer != 0, F.raise_error(F.lit(f"not divisible by {parts}"))).otherwise(out) if strict else out
+
+
+def batched(vectors_: dict[str, Column]) -> dict[str, Column]:
+    """A leading dimension of one for each."""
+    return {n: F.array(v) for n, v in vectors_.items()}
+
+
+def unbatched(arrays: dict[str, Column]) -> dict[str, Column]:
+    """The only element of each; an error where one has none or several."""
+    return {n: F.when((F.size(a) == 1) | a.isNull(), F.get(a, F.lit(0))).otherwise(F.raise_error(F.concat(F.lit(f"{n}: leading dimension 1 expected, got "), F.size(a).cast("string")))) for n, a in arrays.items()}
+
+
 def flat_index(index: list[Column], shape: list[int]) -> Column:
     """Row-major number of a multi-index."""
     out = F.lit(0)

@@ -156,6 +156,10 @@ def best_of(candidates: DataFrame, by: list[str], value: str, tie: str, keep: li
     return x.select(*by, "_b.*")
 
 
+#: Statistics of the task progress, as if it were spread evenly.
+PROGRESS_STATS = {"max": 1.0, "min": 0.0, "mean": 0.5, "std": 0.2887, "q01": 0.01, "q99": 0.99}
+
+
 def task_progress(steps: DataFrame, episode: str, frame: str) -> DataFrame:
     """frame / length, so below 1."""
     return steps.withColumn("progress", F.col(frame) / F.count("*").over(Window.partitionBy(episode)))

@@ -43,20 +43,56 @@ class Step:
         return df
 
 
+#: Widths that a rotation may have after its conversion: axis angle, quaternion, 6-d.
+ROTATION_WIDTHS = (3, 4, 6)
+
+
 @registered("concat")
 class Concat(Step):
-    """Vectors of fixed widths into one column, in order; unapply splits it."""
+    """Vectors into one column, in order; unapply splits it.
+
+    kind "action": the parts must be exactly the columns named by prefix. kind "state": they must be among the columns, and a part may
+    have twice its width (sines and cosines). A part listed in rotations may also have the width of any representation; post gives the
+    width that a part has here, where that isn't its own, for unapply.
+    """
+
+    def __init__(self, parts: list[tuple[str, int]], out: str, kind: str | None = None, prefix: str | None = None, rotations: list[str] | None = None, post: dict[str, int] | None = None):
+        super().__init__()
+        if kind not in (None, "state", "action"):
+            raise ValueError(f"unknown kind {kind}")
+        self.parts, self.out, self.kind, self.prefix, self.rotations, self.post = parts, out, kind, prefix, rotations or [], post or {}
+
+    def widths(self, name: str, width: int) -> list[int]:
+        """Widths that a part may have."""
+        return sorted({width, *(ROTATION_WIDTHS if name in self.rotations else ()), *((2 * width,) if self.kind == "state" else ())})
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        names = [n for n, _ in self.parts]
+        if missing := sorted(set(names) - set(df.columns)):
+            raise ValueError(f"no columns {missing}")
+        if self.kind == "action" and self.prefix and (more := sorted({c for c in df.columns if c.startswith(self.prefix)} ^ set(names))):
+            raise ValueError(f"keys differ from the columns by {more}")
+        checked = [vectors.checked(F.col(f"`{n}`"), self.widths(n, w), n) for n, w in self.parts]
+        return df.withColumn(self.out, vectors.stacked(*checked)).drop(*names)
+
+    def unapply(self, df: DataFrame) -> DataFrame:
+        return df.withColumns(vectors.split(F.col(self.out), [(n, self.post.get(n, w)) for n, w in self.parts])).drop(self.out)
+
+
+@registered("cast")
+class Cast(Step):
+    """Columns to another type; unapply restores the types they had."""
 
-    def __init__(self, parts: list[tuple[str, int]], out: str):
+    def __init__(self, columns: list[str], to: str = "array<float>"):
         super().__init__()
-        self.parts, self.out = parts, out
+        self.columns, self.to, self.had = columns, to, {}
 
     def apply(self, df: DataFrame) -> DataFrame:
-        checked = [vectors.checked(F.col(n), w, n) for n, w in self.parts]
-        return df.withColumn(self.out, vectors.stacked(*checked)).drop(*[n for n, _ in self.parts])
+        self.had = {c: df.schema[c].dataType for c in self.columns}
+        return df.withColumns({c: F.col(c).cast(self.to) for c in self.columns})
 
     def unapply(self, df: DataFrame) -> DataFrame:
-        return df.withColumns(vectors.split(F.col(self.out), self.parts)).drop(self.out)
+        return df.withColumns({c: F.col(c).cast(t) for c, t in self.had.items() if c in df.columns})
 
 
 @registered("normalize")

@@ -32,6 +32,14 @@ def out_of_sync(steps: DataFrame, episode: str, frame: str, time: str, fps: str,
     return steps.withColumn("_bad", next_one & (gap > tolerance)).groupBy(episode).agg(F.sum(F.coalesce(F.col("_bad").cast("int"), F.lit(0))).alias("out_of_sync"))
 
 
+def file_counts(files: DataFrame, episodes: int, cameras: int, name: str = "name") -> DataFrame:
+    """Files of each kind beside what is expected: a table an episode, a video an episode and camera."""
+    kinds = (("parquet", episodes), ("mp4", episodes * cameras))
+    return files.agg(*[F.count(F.when(F.col(name).endswith(f".{k}"), 1)).alias(k) for k, _ in kinds]).select(
+        F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("found"), F.lit(n).cast("long").alias("expected")) for k, n in kinds])).alias("_c")
+    ).select("_c.*", (F.col("_c.found") == F.col("_c.expected")).alias("complete"))
+
+
 def unresolved_keys(configured: DataFrame, modality: DataFrame, on: list[str], exempt: list[str] = ()) -> DataFrame:
     """Configured keys that the modality map lacks."""
     x = configured.where(~F.col("modality").isin(list(exempt))) if exempt else configured

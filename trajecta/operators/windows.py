@@ -92,6 +92,24 @@ def relative_to_first(chunks: DataFrame, value: str, state: str, by: list[str],
     return chunks.withColumn("relative", F.col(value) - F.first(state).over(w))
 
 
+def relative_keys(actions: list[str], states: list[str], chosen: list[str] | None = None) -> list[str]:
+    """Action keys made relative: those chosen (or all) that have a state of their name; the others stay as they are."""
+    return [k for k in actions if (chosen is None or k in chosen) and k in states]
+
+
+def relative_chunks(rows: Column, states: Column, anchors: Column, chunk: int = CHUNK) -> Column:
+    """Rows of an action less, in each whole chunk of them, the state at the chunk's anchor (a position in states). A last chunk that
+    isn't whole, and one whose anchor lies beyond the states, stay as they are."""
+    whole = F.floor(F.size(rows) / chunk) * chunk
+
+    def one(row: Column, i: Column) -> Column:
+        at = F.get(anchors, F.floor(i / chunk).cast("int") * chunk)
+        state = F.when(i < whole, F.get(states, at.cast("int")))
+        return F.when(state.isNull(), row).otherwise(F.zip_with(row, state, lambda a, b: a - b))
+
+    return F.transform(rows, one)
+
+
 def absolute(relative: Column, state: Column) -> Column:
     """Undoes relative_to_first: each component of each row plus the last observed state."""
     return F.transform(relative, lambda row: F.zip_with(row, state, lambda a, b: a + b))
@@ -138,3 +156,15 @@ def crossings(df: DataFrame, by: list[str], order: str, value: str, every: float
 def synthesized_times(episode: str, time: str, frame: str, fps: float) -> Column:
     """Times, or frame / fps in an episode whose times are all zero."""
     return F.when(F.max(F.abs(F.col(time))).over(Window.partitionBy(episode)) == 0, F.col(frame) / fps).otherwise(F.col(time))
+
+
+def every(count: Column, n: int, on_first: bool = False) -> Column:
+    """True at each n-th call, counted from 0; the first is one only if on_first."""
+    if n < 1:
+        raise ValueError("n must be positive")
+    return F.pmod(count + (0 if on_first else 1), F.lit(n)) == 0
+
+
+def first_times(by: list[str], order: list[str], n: int = 1) -> Column:
+    """True for the first n rows of each name."""
+    return F.row_number().over(Window.partitionBy(*by).orderBy(*order)) <= n

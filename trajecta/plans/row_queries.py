@@ -292,6 +292,31 @@ def threshold_trigger(spark, d):
     return x.where("fired").select("episode_index", "frame_index", F.col("total").cast("long").alias("total"))
 
 
+@query("call_triggers", f"WITH {STEPS} SELECT event_id, (frame_index + 1) % 10 = 0 AS tenth, frame_index % 10 = 0 AS tenth_from_first, row_number() OVER (PARTITION BY episode_index, label ORDER BY frame_index) <= 1 AS once, row_number() OVER (PARTITION BY episode_index, label ORDER BY frame_index) <= 3 AS thrice FROM steps")
+def call_triggers(spark, d):
+    times = lambda n: windows.first_times(["episode_index", "label"], ["frame_index"], n)
+    return steps(spark, d).select("event_id", windows.every(F.col("frame_index"), 10).alias("tenth"), windows.every(F.col("frame_index"), 10, True).alias("tenth_from_first"), times(1).alias("once"), times(3).alias("thrice"))
+
+
+@query(
+    "relative_action_keys",
+    f"WITH {STEPS}, c AS (SELECT *, frame_index // 24 * 24 AS anchor, (frame_index // 24 + 1) * 24 <= length AS whole FROM steps)"
+    " SELECT a.episode_index, a.frame_index, round(CASE WHEN whole THEN a.value - s.k ELSE a.value END, 4) + 0.0 AS arm, round(a.k, 4) + 0.0 AS gripper, round(2 * a.value, 4) + 0.0 AS hand FROM c a JOIN steps s ON s.episode_index = a.episode_index AND s.frame_index = a.anchor",
+)
+def relative_action_keys(spark, d):
+    """Action keys made relative chunk by chunk: arm is; gripper isn't chosen and hand has no state, so they stay."""
+    rows = F.array_sort(F.collect_list(F.struct("frame_index", F.array("value").alias("arm"), F.array("k").alias("gripper"), F.array(F.col("value") * 2).alias("hand"))))
+    e = steps(spark, d).groupBy("episode_index").agg(rows.alias("rows"))
+    part = lambda k: F.transform("rows", lambda x: x[k])
+    states = {"arm": part("gripper"), "gripper": part("gripper")}
+    actions = {k: part(k) for k in ("arm", "gripper", "hand")}
+    anchors = part("frame_index")
+    for k in windows.relative_keys(list(actions), list(states), ["arm", "hand"]):
+        actions[k] = windows.relative_chunks(actions[k], states[k], anchors)
+    x = e.select("episode_index", F.posexplode(F.arrays_zip(*[v.alias(k) for k, v in actions.items()])).alias("frame_index", "a"))
+    return x.select("episode_index", F.col("frame_index").cast("long").alias("frame_index"), *[r(F.col(f"a.{k}")[0]).alias(k) for k in actions])
+
+
 @query("synthesized_times", f"WITH {STEPS} SELECT event_id, round(CASE WHEN episode_index % 2 = 0 THEN frame_index / 15.0 ELSE value END, 4) + 0.0 AS t FROM steps")
 def synthesized_times(spark, d):
     x = steps(spark, d).withColumn("t0", F.when(F.col("episode_index") % 2 == 0, 0.0).otherwise(F.col("value")))
@@ -378,15 +403,18 @@ def hash_bits(spark, d):
     return table(spark, d, "events").select("event_id", low_hash(F.col("event_id")).alias("low_bits"), F.md5("props").alias("digest"))
 
 
-@query("weighted_draws")
+@query(
+    "weighted_draws",
+    f"WITH {_SIZES}, c AS (SELECT dataset_path, n / sum(n) OVER () AS share, sum(n) OVER (ORDER BY dataset_path) / sum(n) OVER () AS high FROM z), u AS (SELECT CAST(('0x' || substr(sha256('0,' || CAST(i AS VARCHAR) || ',3'), 1, 13)) AS BIGINT)::DOUBLE / 4503599627370496.0 AS u FROM (SELECT unnest(range(10000)) AS i))"
+    " SELECT dataset_path, count(*) AS draws, round(max(share), 9) AS share FROM u JOIN c ON u >= high - share AND u < high GROUP BY 1",
+)
 def weighted_draws(spark, d):
     """10 000 draws of datasets by weight: how often each came beside its share."""
     x = sampling.dataset_weights(_sizes(spark, d).withColumn("weight", F.lit(1.0)), "weight", "n", True)
     got = sampling.drawn(10_000, sampling.cumulative(x.select("dataset_path", "share"), "dataset_path", "share"), 3)
-    return got.groupBy("dataset_path").agg(F.count("*").alias("draws"), F.max("share").alias("share"))
+    return got.groupBy("dataset_path").agg(F.count("*").alias("draws"), r(F.max("share"), 9).alias("share"))
 
 
-@query("derangement", "SELECT user_id, count(*) AS n, count(*) AS partners FROM events GROUP BY 1 HAVING count(*) > 1")
+@query("derangement", "WITH h AS (SELECT event_id, user_id, sha256(CAST(event_id AS VARCHAR) || ',1') AS h FROM events), p AS (SELECT event_id, coalesce(lead(event_id) OVER w, first_value(event_id) OVER w) AS partner FROM h WINDOW w AS (PARTITION BY user_id ORDER BY h)) SELECT event_id, partner FROM p WHERE event_id <> partner")
 def derangement(spark, d):
-    x = sampling.derangement(table(spark, d, "events"), ["user_id"], "event_id", 1)
-    return x.groupBy("user_id").agg(F.count("*").alias("n"), F.count_distinct("partner").alias("partners"))
+    return sampling.derangement(table(spark, d, "events"), ["user_id"], "event_id", 1).select("event_id", "partner")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trajecta.operators import joins, sampling, stats, validate, windows
+from trajecta.operators import filters, joins, sampling, stats, validate, windows
 from trajecta.plans.common import ONCE, STEPS, once, packed, query, r, steps, table
 
 _SIX = "round(avg(value), 4) + 0.0 AS mean, round(stddev_pop(value), 4) + 0.0 AS std, round(min(value), 4) + 0.0 AS min, round(max(value), 4) + 0.0 AS max, round(quantile_cont(value, 0.01), 4) + 0.0 AS q01, round(quantile_cont(value, 0.99), 4) + 0.0 AS q99"
@@ -156,11 +156,11 @@ def task_progress(spark, d):
     return stats.task_progress(steps(spark, d), "episode_index", "frame_index").select("event_id", r("progress", 6).alias("progress"))
 
 
-@query("capped_stats", f"WITH {STEPS}, c AS (SELECT episode_index FROM (SELECT DISTINCT episode_index FROM steps) ORDER BY sha256(concat_ws(',', CAST(episode_index AS VARCHAR), '42')) LIMIT 10000) SELECT count(value) AS n, {_SIX} FROM steps SEMI JOIN c USING (episode_index)")
+@query("capped_stats", f"WITH {STEPS}, c AS (SELECT episode_index FROM (SELECT DISTINCT episode_index FROM steps) ORDER BY sha256(concat_ws(',', CAST(episode_index AS VARCHAR), '42')) LIMIT 100) SELECT count(value) AS n, {_SIX} FROM steps SEMI JOIN c USING (episode_index)")
 def capped_stats(spark, d):
-    """Statistics over at most 10 000 episodes, taken in seeded hash order: the sampling operator of the loader."""
+    """Statistics over at most 100 episodes, taken in seeded hash order: the sampling operator of the loader."""
     s = steps(spark, d)
-    some = s.select("episode_index").distinct().orderBy(sampling.hash_order(F.col("episode_index"), 42)).limit(10_000)
+    some = s.select("episode_index").distinct().orderBy(sampling.hash_order(F.col("episode_index"), 42)).limit(100)
     return _six(stats.feature_stats(s.join(some, "episode_index", "left_semi"), []), [])
 
 
@@ -177,12 +177,12 @@ def mse_grouping(spark, d):
 
 @query(
     "topk_accuracy",
-    "WITH s AS (SELECT vec_id, label, CAST(d - 1 AS BIGINT) AS class, CAST(embedding[d] AS DOUBLE) AS score FROM (SELECT *, unnest(range(1, 11)) AS d FROM embeddings)), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, class) AS rk FROM s), h AS (SELECT vec_id, max(CASE WHEN class = label AND rk <= 3 THEN 1 ELSE 0 END) AS hit FROM k GROUP BY 1)"
+    "WITH s AS (SELECT vec_id, label, CAST(d - 1 AS BIGINT) AS class, CAST(embedding[d] AS DOUBLE) AS score FROM (SELECT *, unnest(range(1, 65)) AS d FROM embeddings)), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, class) AS rk FROM s), h AS (SELECT vec_id, max(CASE WHEN class = label AND rk <= 9 THEN 1 ELSE 0 END) AS hit FROM k GROUP BY 1)"
     " SELECT round(avg(hit), 6) + 0.0 AS accuracy, CAST(sum(hit) AS BIGINT) AS hits, count(*) AS n FROM h",
 )
 def topk_accuracy(spark, d):
-    s = stats.tall(table(spark, d, "embeddings").withColumn("embedding", F.slice("embedding", 1, 10)), ["vec_id", "label"], ["embedding"])
-    return stats.top_k_accuracy(s.withColumnRenamed("dim", "class"), "vec_id", "class", "value", "label", 3).select(r("accuracy", 6).alias("accuracy"), "hits", "n")
+    s = stats.tall(table(spark, d, "embeddings"), ["vec_id", "label"], ["embedding"])
+    return stats.top_k_accuracy(s.withColumnRenamed("dim", "class"), "vec_id", "class", "value", "label", 9).select(r("accuracy", 6).alias("accuracy"), "hits", "n")
 
 
 @query("best_of_n", "SELECT o_custkey, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn = 1")
@@ -222,10 +222,35 @@ def out_of_sync(spark, d):
     return validate.out_of_sync(f, "episode_index", "frame_index", "ts_sec", "fps", 0.001)
 
 
-@query("unresolved_keys", "SELECT DISTINCT dataset_path, feature_key FROM dataset_stats JOIN datasets USING (dataset_path) WHERE NOT EXISTS (SELECT 1 FROM modality m WHERE m.embodiment_tag = datasets.embodiment_tag AND m.feature_key = dataset_stats.feature_key AND m.modality = dataset_stats.modality)")
+_FIELDS = ("joint_position", "joint_velocity", "cartesian_position", "gripper_position", "next_reward", "ts_sec")
+
+
+@query("unresolved_keys", f"SELECT dataset_path, feature_key FROM (SELECT dataset_path, embodiment_tag, unnest({list(_FIELDS)}) AS feature_key FROM datasets) c WHERE feature_key <> 'ts_sec' AND NOT EXISTS (SELECT 1 FROM modality m WHERE m.embodiment_tag = c.embodiment_tag AND m.feature_key = c.feature_key)")
 def unresolved_keys(spark, d):
-    s = table(spark, d, "dataset_stats").join(table(spark, d, "datasets").select("dataset_path", "embodiment_tag"), "dataset_path")
-    return validate.unresolved_keys(s, table(spark, d, "modality"), ["embodiment_tag", "modality", "feature_key"]).select("dataset_path", "feature_key").distinct()
+    """Float fields of frames that a dataset's modality map lacks; times are exempt."""
+    c = table(spark, d, "datasets").select("dataset_path", "embodiment_tag", F.explode(F.array(*map(F.lit, _FIELDS))).alias("feature_key"))
+    c = c.withColumn("modality", F.when(F.col("feature_key") == "ts_sec", "time").otherwise("any"))
+    return validate.unresolved_keys(c, table(spark, d, "modality"), ["embodiment_tag", "feature_key"], ["time"]).select("dataset_path", "feature_key")
+
+
+@query("file_counts", "WITH f AS (SELECT DISTINCT data_path FROM episodes), e AS (SELECT count(DISTINCT episode_index) AS n FROM episodes) SELECT 'parquet' AS kind, (SELECT count(*) FROM f WHERE data_path LIKE '%.parquet') AS found, n AS expected, (SELECT count(*) FROM f WHERE data_path LIKE '%.parquet') = n AS complete FROM e UNION ALL SELECT 'mp4', 0, 2 * n, 0 = 2 * n FROM e")
+def file_counts(spark, d):
+    """Files that the episodes list, beside one table an episode and one video for each of two cameras."""
+    e = table(spark, d, "episodes")
+    n = e.agg(F.count_distinct("episode_index")).head()[0]
+    return validate.file_counts(e.select("data_path").distinct(), n, 2, "data_path")
+
+
+@query("modality_filter", "SELECT dataset_path, count(*) AS n FROM frames WHERE joint_position IS NOT NULL AND len(joint_position) > 0 AND gripper_position IS NOT NULL GROUP BY 1")
+def modality_filter(spark, d):
+    f = table(spark, d, "frames").select("dataset_path", "joint_position", "gripper_position")
+    return filters.with_modality(f, ["joint_position", "gripper_position"]).groupBy("dataset_path").agg(F.count("*").alias("n"))
+
+
+@query("valid_results", "SELECT dataset_path, feature_key, dim, count(*) AS n FROM dataset_stats WHERE isfinite(v_mean) AND isfinite(v_std) AND isfinite(q01) AND isfinite(q99) GROUP BY ALL")
+def valid_results(spark, d):
+    s = filters.valid_results(table(spark, d, "dataset_stats"), ["v_mean", "v_std", "q01", "q99"])
+    return s.groupBy("dataset_path", "feature_key", "dim").agg(F.count("*").alias("n"))
 
 
 @query("same_configuration", "SELECT embodiment_tag, count(DISTINCT codebase_version) AS configurations, count(DISTINCT codebase_version) = 1 AS identical FROM datasets GROUP BY 1")

@@ -12,7 +12,7 @@ from trajecta.sources import datasets
 from trajecta.streaming import sessions
 
 _TEXTS = "SELECT DISTINCT task_index, task FROM tasks"
-_CLASS = r"[^\p{L}\p{N}\p{M}_\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_CLASS = r"[^\p{L}\p{N}_\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 def _tasks(spark, d):
@@ -28,14 +28,14 @@ def formalize_text(spark, d):
 _WS = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
-@query("whitespace_clean", f"SELECT doc_id, length(trim(regexp_replace(text, '{_WS}+', ' ', 'g'))) AS n FROM documents")
+@query("whitespace_clean", f"SELECT doc_id, trim(regexp_replace(text, '{_WS}+', ' ', 'g')) AS text FROM documents")
 def whitespace_clean(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.length(text.single_spaced(F.col("text"))).cast("long").alias("n"))
+    return table(spark, d, "documents").select("doc_id", text.single_spaced(F.col("text")).alias("text"))
 
 
-@query("remove_prefix", "SELECT doc_id, length(list_last(string_split(text, ': '))) AS n FROM documents")
+@query("remove_prefix", "SELECT doc_id, list_last(string_split(text, ': ')) AS text FROM documents")
 def remove_prefix(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.length(text.without_prefix(F.col("text"))).cast("long").alias("n"))
+    return table(spark, d, "documents").select("doc_id", text.without_prefix(F.col("text")).alias("text"))
 
 
 @query("marker_flags", f"WITH t AS (SELECT task_index, CASE task_index % 4 WHEN 0 THEN '<LAPA>' WHEN 1 THEN '<DREAM> ' ELSE '' END || coalesce(task, '') AS x FROM tasks) SELECT DISTINCT task_index, contains(x, '<LAPA>') AS lapa, contains(x, '<DREAM>') AS dream, contains(x, '<COTRAIN>') AS cotrain, regexp_replace(replace(replace(x, '<LAPA>', ''), '<DREAM>', ''), '^{_WS}+|{_WS}+$', '', 'g') AS rest FROM t")
@@ -53,17 +53,30 @@ def prompt_template(spark, d):
     return table(spark, d, "datasets").select("dataset_path", text.prompt(F.col("embodiment_tag"), F.col("codebase_version"), _TEMPLATES).alias("prompt"))
 
 
-@query("literal_list", "SELECT p_partkey, p_name AS first FROM part")
+@query("literal_list", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN 'don''t ' || p_name WHEN 2 THEN 'the \"' || p_name || '\"' ELSE p_name END AS first FROM part")
 def literal_list(spark, d):
-    x = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("['"), F.col("p_name"), F.lit("', 'other']"))).otherwise(F.col("p_name"))
+    """List literals with either kind of quotes, apostrophes and escapes within them, and plain texts."""
+    n = F.col("p_name")
+    kinds = [n, F.concat(F.lit('["don\'t '), n, F.lit("\", 'other']")), F.concat(F.lit("[ 'the \""), n, F.lit("\"' ]")), F.concat(F.lit("['"), n, F.lit("', \"it's\"]"))]
+    x = F.when(F.col("p_partkey") % 4 == 0, kinds[0]).when(F.col("p_partkey") % 4 == 1, kinds[1]).when(F.col("p_partkey") % 4 == 2, kinds[2]).otherwise(kinds[3])
     return table(spark, d, "part").select("p_partkey", text.first_of_literal(x).alias("first"))
 
 
-@query("language_choice")
+def _hash_part(what: str) -> str:
+    return f"CAST(('0x' || substr(sha256(CAST(annotation_id AS VARCHAR) || ',3,{what}'), 1, 13)) AS BIGINT)::DOUBLE / 4503599627370496.0"
+
+
+@query(
+    "language_choice",
+    "WITH s AS (SELECT annotation_id, annotator, list_filter([language_instruction, language_instruction_2, language_instruction_3], lambda x: length(x) > 1) AS t FROM annotations)"
+    f" SELECT DISTINCT annotation_id, CASE WHEN len(t) < 1 OR {_hash_part('dropout')} < 0.1 THEN 'not provided' WHEN annotator IS NULL THEN t[1] ELSE t[CAST(floor({_hash_part('key')} * len(t)) AS BIGINT) + 1] END AS training, CASE WHEN len(t) < 1 THEN 'not provided' ELSE t[1] END AS evaluation FROM s",
+)
 def language_choice(spark, d):
-    """One of the three instruction slots of each annotation, by hash; a tenth of them the default."""
+    """In training one of the three instruction slots by hash (the first, where no annotator is known), a tenth of them the default; in evaluation the first."""
     slots = F.filter(F.array("language_instruction", "language_instruction_2", "language_instruction_3"), lambda x: F.length(x) > 1)
-    return table(spark, d, "annotations").select("annotation_id", text.chosen(slots, F.col("annotation_id"), "not provided", 3, 0.1).alias("instruction")).distinct()
+    key = F.col("annotation_id").cast("string")
+    pick = lambda training: text.chosen(slots, key, "not provided", 3, 0.1, training, F.col("annotator").isNotNull())
+    return table(spark, d, "annotations").select("annotation_id", pick(True).alias("training"), pick(False).alias("evaluation")).distinct()
 
 
 @query("task_instruction", "SELECT p_partkey, coalesce(nullif(CASE WHEN p_size > 25 THEN p_name ELSE '' END, ''), p_type) || '.' || p_brand AS instruction FROM part")
@@ -102,9 +115,27 @@ def rate_parse(spark, d):
     return x.select("x", F.round(text.rate(F.col("x")), 2).alias("fps"))
 
 
-@query("readable_counts", "SELECT o_orderkey, CASE WHEN o_totalprice >= 1e6 THEN printf('%.2fM', o_totalprice / 1e6) WHEN o_totalprice >= 1e3 THEN printf('%.2fK', o_totalprice / 1e3) ELSE printf('%.0f', o_totalprice) END AS readable FROM (SELECT o_orderkey, floor(o_totalprice / 10) * 10 AS o_totalprice FROM orders)")
+@query(
+    "readable_counts",
+    "WITH o AS (SELECT o_orderkey, CAST(floor(o_totalprice / 10) * 10 AS BIGINT) * CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 1000 ELSE 1000000 END AS n FROM orders), g AS (SELECT *, least(CAST(ceil(length(CAST(n AS VARCHAR)) / 3) AS INT), 5) AS g FROM o),"
+    " v AS (SELECT *, n::DOUBLE * [1.0::DOUBLE, 1e-3::DOUBLE, 1e-6::DOUBLE, 1e-9::DOUBLE, 1e-12::DOUBLE][g] AS v FROM g)"
+    " SELECT o_orderkey, printf('%d', CAST(floor(v) AS BIGINT)) || CASE WHEN v - floor(v) > 0.01 THEN ltrim(printf('%.2f', v - floor(v)), '0') ELSE '' END || ' ' || [' ', 'K', 'M', 'B', 'T'][g] AS readable FROM v",
+)
 def readable_counts(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", text.readable_count(F.floor(F.col("o_totalprice") / 10) * 10).alias("readable"))
+    size = F.when(F.col("o_orderkey") % 3 == 0, 1).when(F.col("o_orderkey") % 3 == 1, 1000).otherwise(1_000_000)
+    return table(spark, d, "orders").select("o_orderkey", text.readable_count((F.floor(F.col("o_totalprice") / 10) * 10).cast("long") * size).alias("readable"))
+
+
+@query("scientific_strings", "SELECT event_id, CASE WHEN k = 0 THEN '0' ELSE replace(printf('%.1e', k::DOUBLE / 8192), 'e-0', 'e-') END AS shown FROM (SELECT event_id, event_id % 50 AS k FROM events)")
+def scientific_strings(spark, d):
+    return table(spark, d, "events").select("event_id", text.scientific((F.col("event_id") % 50).cast("double") / 8192).alias("shown"))
+
+
+@query("frame_estimate", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CASE WHEN l_linenumber % 2 = 0 THEN l_quantity WHEN l_tax > 0 THEN floor(l_tax * 1000.0) ELSE 0 END AS BIGINT) AS frames FROM lineitem")
+def frame_estimate(spark, d):
+    """Frames of a probe, estimated from duration and rate where it counts none."""
+    counted = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity").cast("long"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.frame_estimate(counted, F.col("l_tax"), F.lit(1000.0)).alias("frames"))
 
 
 @query("encoded_names", "SELECT event_id, base64(CAST(event_type AS BLOB)) AS encoded, strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events")
@@ -127,7 +158,7 @@ def mixture_paths(spark, d):
     return spark.createDataFrame(datasets.mixture_paths(spec, [p for _, p in known], {t for t, _ in known}), "tag string, path string")
 
 
-@query("html_unescape")
+@query("html_unescape", "SELECT p_partkey, '<b> ' || p_name || ' é!' AS name FROM part")
 def html_unescape(spark, d):
     x = F.concat(F.lit("&amp;lt;b&amp;gt; "), F.col("p_name"), F.lit(" &eacute;&#33; "))
     return table(spark, d, "part").select("p_partkey", text.html_unescaped(x).alias("name"))

@@ -111,10 +111,47 @@ def multi_one_hot(spark, d):
     return table(spark, d, "part").select("p_partkey", place(F.slice(v, 1, 3)).alias("first_place"), (place(F.slice(v, 4, 4)) + 3).alias("second_place"), F.size(v).alias("width"))
 
 
-@query("batch_unbatch", "SELECT vec_id, CAST(len(embedding) AS BIGINT) AS width, 1 AS leading FROM embeddings")
+@query("batch_unbatch", "SELECT vec_id, CAST(len(embedding) AS BIGINT) AS width, 1 AS leading, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) + 0.0 AS total FROM embeddings")
 def batch_unbatch(spark, d):
-    x = table(spark, d, "embeddings").withColumn("batch", F.array("embedding"))
-    return x.select("vec_id", F.size(F.element_at("batch", 1)).cast("long").alias("width"), F.size("batch").alias("leading"))
+    x = table(spark, d, "embeddings").select("vec_id", vectors.batched({"e": F.col("embedding").cast("array<double>")})["e"].alias("e"))
+    back = vectors.unbatched({"e": F.col("e")})["e"]
+    return x.select("vec_id", F.size(back).cast("long").alias("width"), F.size("e").alias("leading"), r(F.aggregate(back, F.lit(0.0), lambda p, q: p + q)).alias("total"))
+
+
+@query("equal_parts", "SELECT vec_id, CAST(k AS INT) AS part, CAST(CASE WHEN k < 4 THEN 13 ELSE 12 END AS INT) AS n, CAST(embedding[CASE WHEN k < 4 THEN 13 * k ELSE 12 * k + 4 END + 1] AS DOUBLE) AS first FROM (SELECT *, unnest(range(5)) AS k FROM embeddings)")
+def equal_parts(spark, d):
+    x = table(spark, d, "embeddings").select("vec_id", F.posexplode(vectors.equal_parts(F.col("embedding").cast("array<double>"), 5)).alias("part", "v"))
+    return x.select("vec_id", "part", F.size("v").alias("n"), F.get("v", F.lit(0)).alias("first"))
+
+
+_ORDER_KEY = "l_shipdate, l_linenumber, l_partkey, l_suppkey"
+
+
+@query(
+    "action_rows",
+    "WITH o AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) - 1 AS i FROM lineitem)"
+    " SELECT l_orderkey, CAST(i AS INT) AS row_number, l_quantity AS first, l_tax AS second, 0.0 AS last, 2 AS real FROM o WHERE n % 2 = 0 UNION ALL SELECT l_orderkey, CAST(i AS INT), 0.0, 0.0, 0.0, 0 FROM (SELECT DISTINCT l_orderkey, n FROM o WHERE n % 2 = 1), (SELECT unnest(range(2)) AS i)",
+)
+def action_rows(spark, d):
+    """Orders as actions of two components: those of an even number of rows are padded to six, the others have no action."""
+    x = packed(spark, d).groupBy("l_orderkey").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("frame_index", F.array("l_quantity", "l_tax").alias("v")))).alias("a"))
+    x = x.withColumn("rows", F.when(F.col("n") % 2 == 0, F.transform("a", lambda s: s["v"])))
+    rows, mask = vectors.action_rows(F.col("rows"), 2, 6)
+    x = x.select("l_orderkey", F.posexplode(F.arrays_zip(rows.alias("v"), mask.alias("m"))).alias("row_number", "p"))
+    return x.select("l_orderkey", "row_number", *[F.get("p.v", F.lit(k)).alias(n) for n, k in (("first", 0), ("second", 1), ("last", 5))], F.size(F.filter("p.m", lambda m: m)).alias("real"))
+
+
+@query("concat_rules", "SELECT vec_id, CAST(CASE WHEN vec_id % 2 = 0 THEN 9 ELSE 12 END AS INT) AS state_width, 10 AS action_width, CAST(embedding[3] AS DOUBLE) AS third, round(CAST(embedding[6] AS DOUBLE), 6) + 0.0 AS rotation_last FROM embeddings")
+def concat_rules(spark, d):
+    """State parts may have doubled widths, rotations any representation's; the action's keys are exactly its columns."""
+    e = F.col("embedding").cast("array<double>")
+    x = table(spark, d, "embeddings").select("vec_id", F.slice(e, 1, 3).alias("state.arm"), F.slice(e, 4, 3).alias("state.hand"), F.slice(e, 1, 4).alias("action.arm"), F.slice(e, 1, 6).alias("action.turn"), F.slice(e, 1, 3).alias("state.extra"))
+    x = x.withColumn("state.arm", F.when(F.col("vec_id") % 2 == 1, vectors.sin_cos(F.col("`state.arm`"))).otherwise(F.col("`state.arm`"))).withColumn("state.hand", F.concat("`state.hand`", "`state.hand`"))
+    state = transforms.Concat([("state.arm", 3), ("state.hand", 3)], "state", "state", post={"state.hand": 6})
+    action = transforms.Concat([("action.arm", 4), ("action.turn", 3)], "action", "action", "action.", ["action.turn"], {"action.turn": 6})
+    x = state.apply(action.apply(x)).withColumns({"state_width": F.size("state"), "action_width": F.size("action")})
+    x = action.unapply(x)
+    return x.select("vec_id", "state_width", "action_width", F.get("`action.arm`", F.lit(2)).alias("third"), r(F.get("`action.turn`", F.lit(5)), 6).alias("rotation_last"))
 
 
 _FEATURES = {"observation.state": "float64", "action": "float64", "observation.images.left": "video", "annotation.task": "int64", "annotation.language.language_instruction": "int64", "timestamp": "float64"}
@@ -217,27 +254,79 @@ def normalize_per_horizon(spark, d):
     return x.join(s, "h").select("event_id", "h", r(normalize.min_max(F.col("value"), F.col("min"), F.col("max"))).alias("y"))
 
 
-@query("rotation_roundtrip")
+_BY_STEP = f"v AS (SELECT vec_id, dim // 8 AS step, dim % 8 AS place, value FROM ({V})), s AS (SELECT step % 4 AS h, place, avg(value) AS mean, stddev_pop(value) AS std, min(value) AS lo, max(value) AS hi, quantile_cont(value, 0.01) AS q01, quantile_cont(value, 0.99) AS q99 FROM v GROUP BY ALL)"
+
+
+def _horizons(spark, d):
+    """embeddings as eight rows of eight components, two horizons of four steps, with the statistics of each step."""
+    e = F.col("embedding").cast("array<double>")
+    x = table(spark, d, "embeddings").select("vec_id", F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.slice(e, k * 8 + 1, F.lit(8))).alias("rows"))
+    v = x.select(F.posexplode("rows").alias("step", "v")).select(F.pmod("step", F.lit(4)).alias("h"), F.posexplode("v").alias("place", "value"))
+    s = stats.feature_stats(v, ["h", "place"])
+    per = s.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("place", *stats.STATS))).alias("p"))
+    whole = per.agg(F.array_sort(F.collect_list(F.struct("h", "p"))).alias("all"))  # one row of horizon by components
+    part = lambda k: F.transform("all", lambda h: F.transform(h["p"], lambda p: p[k]))
+    return x.crossJoin(F.broadcast(whole.select(*[part(k).alias(k) for k in stats.STATS])))
+
+
+def _by_horizon(mode: str):
+    @query(f"normalize_by_horizon_{mode}", f"WITH {_BY_STEP} SELECT vec_id, CAST(step AS INT) AS step, CAST(v.place AS INT) AS place, round({_FORMULA[mode]}, 4) + 0.0 AS y FROM v JOIN s ON step % 4 = h AND v.place = s.place")
+    def run(spark, d):
+        x = _horizons(spark, d)
+        x = x.select("vec_id", F.posexplode(normalize.normalized_by_horizon(mode, F.col("rows"), _columns())).alias("step", "v"))
+        return x.select("vec_id", "step", F.posexplode("v").alias("place", "y")).withColumn("y", r("y"))
+
+
+for _mode in normalize.MODES:
+    _by_horizon(_mode)
+
+
+@query("restored_by_horizon", f"WITH {_BY_STEP} SELECT vec_id, CAST(step AS INT) AS step, CAST(v.place AS INT) AS place, round(value, 6) + 0.0 AS min_max, round(least(greatest(value, q01), q99), 6) + 0.0 AS q99 FROM v JOIN s ON step % 4 = h AND v.place = s.place")
+def restored_by_horizon(spark, d):
+    """What min_max restores is the value, what q99 restores the value within the quantiles."""
+    x, back = _horizons(spark, d), {}
+    for mode in ("min_max", "q99"):
+        back[mode] = normalize.restored_by_horizon(mode, normalize.normalized_by_horizon(mode, F.col("rows"), _columns()), _columns())
+    x = x.select("vec_id", F.posexplode(F.arrays_zip(*[v.alias(k) for k, v in back.items()])).alias("step", "v"))
+    x = x.select("vec_id", "step", F.posexplode(F.arrays_zip(*[F.col(f"v.{k}").alias(k) for k in back])).alias("place", "p"))
+    return x.select("vec_id", "step", "place", *[r(F.col(f"p.{k}"), 6).alias(k) for k in back])
+
+
+_Q = "embedding[4 * k + {} + 1]"
+_MATRIX = ("1 - s * (y * y + z * z)", "s * (x * y - z * w)", "s * (x * z + y * w)", "s * (x * y + z * w)", "1 - s * (x * x + z * z)", "s * (y * z - x * w)", "s * (x * z - y * w)", "s * (y * z + x * w)", "1 - s * (x * x + y * y)")
+
+
+@query(
+    "rotation_roundtrip",
+    f"WITH q AS (SELECT vec_id, k, {', '.join(f'CAST({_Q.format(i)} AS DOUBLE) AS {c}' for i, c in enumerate('wxyz'))} FROM (SELECT *, unnest(range(16)) AS k FROM embeddings)), n AS (SELECT *, 2 / (w * w + x * x + y * y + z * z) AS s FROM q)"
+    f" SELECT vec_id, CAST(k AS INT) AS part, kind, {', '.join(f'round({m}, 4) + 0.0 AS m{i}' for i, m in enumerate(_MATRIX))} FROM n, (SELECT unnest(['quaternion', 'rotation_6d', 'axis_angle', 'euler']) AS kind)",
+)
 def rotation_roundtrip(spark, d):
-    """Greatest difference, over all vectors, of matrices converted to each kind and back."""
-    v = table(spark, d, "embeddings").select(F.slice(F.col("embedding").cast("array<double>"), 1, 4).alias("q")).withColumn("m", rotations.quaternion_to_matrix(F.col("q")))
+    """Matrices of all sixteen quaternions in a vector, converted to each kind and back."""
+    e = F.col("embedding").cast("array<double>")
+    v = table(spark, d, "embeddings").select("vec_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.slice(e, k * 4 + 1, F.lit(4)))).alias("part", "q")).withColumn("m", rotations.quaternion_to_matrix(F.col("q")))
     out = []
     for kind in ("quaternion", "rotation_6d", "axis_angle", "euler"):
         back = rotations.convert(rotations.convert(F.col("m"), "matrix", kind), kind, "matrix")
-        out.append(F.max(F.array_max(F.zip_with("m", back, lambda a, b: F.abs(a - b)))).alias(kind))
-    return v.agg(*out)
+        out.append(F.struct(F.lit(kind).alias("kind"), back.alias("b")))
+    x = v.select("vec_id", "part", F.explode(F.array(*out)).alias("x"))
+    return x.select("vec_id", "part", "x.kind", *[r(F.get("x.b", F.lit(i))).alias(f"m{i}") for i in range(9)])
 
 
-@query("transform_chain", f"WITH {_S} SELECT count(*) AS n, true AS restored FROM embeddings")
+@query("transform_chain", "SELECT vec_id, CAST(k AS INT) AS place, round(CAST(embedding[k + 1] AS DOUBLE), 6) + 0.0 AS v, round(CAST(embedding[k + 1] AS DOUBLE) / 10, 6) + 0.0 AS scaled FROM (SELECT *, unnest(range(64)) AS k FROM embeddings)")
 def transform_chain(spark, d):
-    """Normalization and rotation in a chain by configuration, applied and undone."""
-    x = table(spark, d, "embeddings").select(F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("v"), F.slice(F.col("embedding").cast("array<double>"), 4, 3).alias("rot"))
-    x = x.withColumns({"v0": F.col("v"), "m0": rotations.convert(F.col("rot"), "axis_angle", "matrix")})
-    s = [{"mean": 0.0, "std": 1.5, "min": -10.0, "max": 10.0, "q01": -9.0, "q99": 9.0}] * 3
-    chain = transforms.built([{"step": "normalize", "column": "v", "mode": "min_max", "stats": s}, {"step": "rotate", "column": "rot", "source": "axis_angle", "target": "rotation_6d"}])
-    y = chain.unapply(chain.apply(x)).withColumn("m1", rotations.convert(F.col("rot"), "axis_angle", "matrix"))
-    worst = lambda a, b: F.max(F.array_max(F.zip_with(a, b, lambda p, q: F.abs(p - q))))
-    return y.agg(F.count("*").alias("n"), ((worst("v", "v0") < 1e-9) & (worst("m0", "m1") < 1e-6)).alias("restored"))
+    """Casting, normalization and concatenation in a chain by configuration: what it makes, and what undoing it gives back."""
+    e = F.col("embedding").cast("array<double>")
+    x = table(spark, d, "embeddings").select("vec_id", F.slice(e, 1, 40).alias("a"), F.slice(e, 41, 24).alias("b"))
+    s = {"mean": 0.0, "std": 1.5, "min": -10.0, "max": 10.0, "q01": -9.0, "q99": 9.0}
+    chain = transforms.built([
+        {"step": "normalize", "column": "a", "mode": "min_max", "stats": [s] * 40}, {"step": "normalize", "column": "b", "mode": "min_max", "stats": [s] * 24},
+        {"step": "concat", "parts": [("a", 40), ("b", 24)], "out": "v"}, {"step": "cast", "columns": ["v"], "to": "array<double>"},
+    ])
+    y = chain.apply(x)
+    made = y.select("vec_id", F.posexplode("v").alias("place", "scaled"))
+    back = chain.unapply(y).select("vec_id", F.posexplode(F.concat("a", "b")).alias("place", "v"))
+    return made.join(back, ["vec_id", "place"]).select("vec_id", "place", r("v", 6).alias("v"), r("scaled", 6).alias("scaled"))
 
 
 @query("augment_noise")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import fnmatch
 import json
 import re
@@ -144,6 +145,35 @@ def modality_catalog(features: dict[str, str], widths: dict[str, int], slices: d
     return out
 
 
+def with_horizon(config: dict, horizon: int) -> dict:
+    """A dataset configuration with another action horizon: the global one, those of the overrides, and every action's delta indices."""
+    if horizon < 1:
+        raise ValueError("horizon must be positive")
+    out = copy.deepcopy(config)
+    out["action_horizon"] = horizon
+    for part in ("vla_override_kwargs", "action_head_override_kwargs"):
+        if part in out.get("model", {}):
+            out["model"][part]["action_horizon"] = horizon
+    for modalities in out.get("modality_configs", {}).values():
+        if "action" in modalities:
+            modalities["action"]["delta_indices"] = list(range(horizon))
+    return out
+
+
+def with_action_dim(config: dict, dim: int) -> dict:
+    """A dataset configuration with another greatest action width."""
+    return {**copy.deepcopy(config), "max_action_dim": dim}
+
+
+def with_overrides(config: dict) -> dict:
+    """What the configuration's own overrides ask for, carried through it."""
+    model = config.get("model", {})
+    if "action_head_override_kwargs" in model:
+        config = with_horizon(config, config["action_horizon"])
+    wider = model.get("expand_action_head_kwargs", {}).get("expand_action_dim")
+    return with_action_dim(config, wider["new_action_dim"]) if wider else config
+
+
 def split_name(name: str) -> tuple[str, str]:
     """Modality and key of a dotted name, divided at its first dot."""
     modality, _, key = name.partition(".")
@@ -158,9 +188,11 @@ def plain_names(df: DataFrame) -> DataFrame:
 # names and paths
 
 
-def filtered(names: list[str], include: list[str] | None = None, exclude: list[str] | None = None, precedence: str = "exclude", order: str = "input") -> list[str]:
-    """Names by glob patterns. precedence exclude: an exclusion is final; include: an inclusion is. order include: as the patterns come."""
-    inside = lambda n, patterns: any(fnmatch.fnmatchcase(n, p) for p in patterns or [])
+def filtered(names: list[str], include: list | None = None, exclude: list | None = None, precedence: str = "exclude", order: str = "input") -> list[str]:
+    """Names by glob patterns or functions of the name. precedence exclude: an exclusion is final; include: an inclusion is. order
+    include: as the patterns come."""
+    fits = lambda n, p: bool(p(n)) if callable(p) else fnmatch.fnmatchcase(n, p)
+    inside = lambda n, patterns: any(fits(n, p) for p in patterns or [])
     kept = []
     for n in names:
         yes, no = include is None or inside(n, include), inside(n, exclude)
@@ -169,7 +201,7 @@ def filtered(names: list[str], include: list[str] | None = None, exclude: list[s
         if yes and not no:
             kept.append(n)
     if order == "include" and include:
-        kept.sort(key=lambda n: next((k for k, p in enumerate(include) if fnmatch.fnmatchcase(n, p)), len(include)))
+        kept.sort(key=lambda n: next((k for k, p in enumerate(include) if fits(n, p)), len(include)))
     return kept
 
 
