@@ -106,8 +106,11 @@ class Normalize(Step):
         self.invertible = mode != "scale"
 
     def _each(self, df: DataFrame, f) -> DataFrame:
-        parts = [f(self.mode, F.get(self.column, F.lit(k)), {n: F.lit(float(v)) for n, v in s.items()}) for k, s in enumerate(self.stats)]
-        return df.withColumn(self.column, F.when(F.col(self.column).isNotNull(), F.array(*parts)))
+        names = sorted(set.intersection(*(set(s) for s in self.stats))) if self.stats else []
+        arrays = {n: F.lit([float(s[n]) for s in self.stats]) for n in names}
+        place = F.sequence(F.lit(0), F.lit(len(self.stats) - 1)) if self.stats else F.array().cast("array<int>")
+        v = F.transform(place, lambda k: f(self.mode, F.get(self.column, k), {n: F.get(a, k) for n, a in arrays.items()}))
+        return df.withColumn(self.column, F.when(F.col(self.column).isNotNull(), v))
 
     def apply(self, df: DataFrame) -> DataFrame:
         return self._each(df, normalize.normalized)
