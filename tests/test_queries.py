@@ -24,12 +24,7 @@ def test_same_as_sql(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
-    assert QUERIES[name](spark, SMALL).columns
-
-
-def test_rotations_are_restored(spark):
-    row = QUERIES["rotation_roundtrip"](spark, SMALL).head()
-    assert max(row) < 1e-6
+    assert QUERIES[name](spark, SMALL).collect()
 
 
 def test_noise_stays_within(spark):

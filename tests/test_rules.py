@@ -212,3 +212,32 @@ def test_shared_folder(spark):
 def test_schema_difference(spark):
     df = spark.createDataFrame([(1, dt.date(2025, 1, 1))], "a int, b date")
     assert validate.schema_difference(df, {"a": "int", "c": "string"}) == [("b", None, "date"), ("c", "string", None)]
+
+
+def test_sessions_in_any_cut(spark):
+    """Messages dealt with in one piece or in several give the same runs and buffers, as one after the other would."""
+    import random
+
+    import pandas as pd
+
+    from trajecta.streaming import sessions
+
+    rng = random.Random(3)
+    for _ in range(40):
+        rows = [(k, rng.choice(["A", "B", None, None, "A"]), rng.choice(["infer"] * 6 + ["reset"]), float(k)) for k in range(rng.randint(1, 30))]
+        session, run, turn, frames, want = None, 0, -1, [], []
+        for seq, sid, endpoint, frame in rows:
+            if run == 0 or (sid is not None and sid != session) or endpoint == "reset":
+                run, turn, frames = run + 1, -1, []
+            session = sid if sid is not None else session
+            turn += 1
+            frames.append(frame)
+            want.append((seq, run, turn, [frame] if turn == 0 else [frames[0]] * (4 - len(frames)) + frames[-4:]))
+        got, state, at = [], (None, 0, -1, []), 0
+        while at < len(rows):
+            n = rng.randint(1, 7)
+            part = pd.DataFrame(rows[at : at + n], columns=["seq", "session_id", "endpoint", "frame"]).sample(frac=1, random_state=1)
+            out, state = sessions._advanced(part, *state, 4)
+            got += [(r.seq, r.run, r.turn, list(r.buffer)) for r in out.itertuples()]
+            at += n
+        assert got == want

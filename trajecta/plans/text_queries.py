@@ -214,11 +214,16 @@ def nested_steps(spark, d):
     return datasets.nested_steps(x, "steps", ["episode_index"]).select("episode_index", "_len", "_frame_index", "label")
 
 
-@query("set_comparison", "SELECT true AS equal, true AS part, false AS reverse")
+@query("set_comparison", "SELECT true AS same_after_parquet, true AS same_after_json, true AS part, false AS reverse, count(*) AS n FROM episodes")
 def set_comparison(spark, d):
-    a = table(spark, d, "nation").select("n_nationkey", "n_name")
-    b = a.where("n_nationkey < 10")
-    return spark.createDataFrame([(validate.same_rows(a, a), validate.is_part_of(b, a), validate.is_part_of(a, b))], "equal boolean, part boolean, reverse boolean")
+    """Nested rows written to two formats and read back, compared with what was written, whole and in part."""
+    e = table(spark, d, "episodes").select("episode_index", F.struct("dataset_path", "length", F.struct("tasks", "success").alias("of")).alias("nested"))
+    at = scratch(spark, "nested")
+    e.write.parquet(f"{at}/parquet")
+    e.write.option("ignoreNullFields", "false").json(f"{at}/json")
+    a, b = spark.read.parquet(f"{at}/parquet"), spark.read.schema(e.schema).json(f"{at}/json")
+    part = a.where("nested.length > 50")
+    return spark.createDataFrame([(validate.same_rows(e, a), validate.same_rows(e, b), validate.is_part_of(part, e), validate.is_part_of(e, part), a.count())], "same_after_parquet boolean, same_after_json boolean, part boolean, reverse boolean, n bigint")
 
 
 # sessions: events of a user as messages of a channel, three at a time under one session id, now and then null or a reset

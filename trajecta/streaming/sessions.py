@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,30 +44,50 @@ def replayed(step: Column, chunk: Column, horizon: int = 8) -> tuple[Column, Col
     return k == 0, F.get(chunk, k.cast("int"))
 
 
-STATE = "session string, run bigint, turn bigint, frames array<double>, first double"
+STATE = "session string, run bigint, turn bigint, frames array<double>"
 OUT = "channel string, seq bigint, session_id string, run bigint, turn bigint, buffer array<double>"
 
 
-def stream_sessions(messages: DataFrame, size: int = BUFFER) -> DataFrame:
+def _advanced(m: pd.DataFrame, session: str | None, run: int, turn: int, frames: list[float], size: int) -> tuple[pd.DataFrame, tuple]:
+    """Runs, turns and buffers of a channel's messages in order of seq, and the state after them."""
+    m = m.sort_values("seq", kind="stable")
+    n = len(m)
+    sid = m["session_id"].where(m["session_id"].notna(), None).astype(object)
+    known = pd.concat([pd.Series([session], dtype=object), sid], ignore_index=True).ffill()
+    before = known.to_numpy()[:n]
+    new = np.array([s is not None and s != b for s, b in zip(sid, before)], bool) | (m["endpoint"] == RESET).to_numpy(dtype=bool)
+    if run == 0:
+        new[0] = True
+    values = np.concatenate([np.array(frames, "f8"), m["frame"].to_numpy(dtype="f8")])
+    at = len(frames) + np.arange(n)
+    start = np.maximum.accumulate(np.where(new, at, 0))  # 0: the run began before this batch, its first frames are in the state
+    runs = run + np.cumsum(new)
+    opened = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+    turns = np.where(opened >= 0, np.arange(n) - opened, turn + 1 + np.arange(n))
+    held = values[np.maximum(at[:, None] + np.arange(1 - size, 1), start[:, None])]
+    buffers = [row[-1:] if t == 0 else row for row, t in zip(held, turns)]
+    out = pd.DataFrame({"seq": m["seq"].to_numpy(), "session_id": sid.to_numpy(), "run": runs, "turn": turns, "buffer": buffers})
+    last = known.iloc[n]
+    return out, (last if isinstance(last, str) else None, int(runs[-1]), int(turns[-1]), values[max(start[-1], len(values) - size) :].tolist())
+
+
+def stream_sessions(messages: DataFrame, size: int = BUFFER, forget_ms: int | None = None) -> DataFrame:
     """The same on a stream with columns channel, seq, session_id, endpoint, frame: state holds size frames a channel.
 
-    Messages of a channel are dealt with in order of seq within a micro-batch.
+    Messages of a channel are dealt with in order of seq within a micro-batch; one that comes with a later micro-batch is taken as it
+    comes. The state of a channel that is silent for forget_ms is dropped, and what it sends later starts run 1 anew; this is for streams
+    that go on, since a stream with a time-out has no last batch (availableNow would never end), so without forget_ms state is kept.
     """
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        session, run, turn, frames, first = state.get if state.exists else (None, 0, -1, [], 0.0)
-        frames = list(frames)
-        rows = []
-        for m in pd.concat(list(batches)).sort_values("seq").itertuples():
-            sid = m.session_id if isinstance(m.session_id, str) else None
-            if run == 0 or (sid is not None and sid != session) or m.endpoint == RESET:
-                run, turn, frames, first = run + 1, -1, [], float(m.frame)
-            session = sid if sid is not None else session
-            turn += 1
-            frames = [*frames, float(m.frame)][-size:]
-            held = [float(m.frame)] if turn == 0 else [first] * (size - len(frames)) + frames
-            rows.append((key[0], m.seq, sid, run, turn, held))
-        state.update((session, run, turn, frames, first))
-        yield pd.DataFrame(rows, columns=["channel", "seq", "session_id", "run", "turn", "buffer"])
-
-    return messages.groupBy("channel").applyInPandasWithState(step, OUT, STATE, "append", "NoTimeout")
+        if state.hasTimedOut:
+            state.remove()
+            return
+        session, run, turn, frames = state.get if state.exists else (None, 0, -1, [])
+        out, after = _advanced(pd.concat(list(batches)), session, run, turn, list(frames), size)
+        state.update(after)
+        if forget_ms:
+            state.setTimeoutDuration(forget_ms)
+        yield out.assign(channel=key[0])[["channel", "seq", "session_id", "run", "turn", "buffer"]]
+
+    return messages.groupBy("channel").applyInPandasWithState(step, OUT, STATE, "append", "ProcessingTimeTimeout" if forget_ms else "NoTimeout")
