@@ -1,7 +1,7 @@
 """Exact quantiles that scale: counts in fine buckets first, then the values of the deciding buckets alone.
 
 A value falls into a signed logarithmic bucket of relative width WIDTH; buckets sort as values do. Counts per (group, bucket) combine
-before the shuffle, and a group has at most some million buckets whatever its rows. They tell which buckets hold the wanted ranks; of
+before the shuffle, and a group has at most some 300,000 buckets whatever its rows. They tell which buckets hold the wanted ranks; of
 those, distinct values are counted in a second pass, so no group's values ever lie in one task.
 """
 
@@ -12,8 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trajecta.session import materialize
+
 #: Relative width of a bucket.
-WIDTH = 0.001
+WIDTH = 0.01
+#: Deciding buckets (at most two a group and quantile) that are broadcast to the second pass, about 100 bytes each; with more, it is a shuffle join.
+BROADCAST_BUCKETS = 200_000
 _INF = 1 << 40
 
 
@@ -44,8 +48,10 @@ def with_quantiles(values: DataFrame, by: list[str], value: str, quantiles: dict
     here = [(r >= F.col("_from")) & (r < F.col("_to")) for r in ranks]
     hit = F.collect_list(F.when(reduce(lambda a, b: a | b, here), F.struct("_b", "_from")))
     sums = x.groupBy(*by).agg(F.max("n").alias("n"), F.max("mean").alias("mean"), F.sqrt(F.sum(F.col("_m2") + F.col("_n") * off * off) / F.max("n")).alias("std"), F.min("_lo").alias("min"), F.max("_hi").alias("max"), hit.alias("_hits"))
-    # at most two buckets a quantile
+    sums = materialize(sums, "quantile-sums")
     wanted = sums.select(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("n").alias("_count"), F.explode("_hits").alias("_h")).select("*", F.col("_h._b").alias("_k__b"), F.col("_h._from").alias("_base")).drop("_h")
+    if wanted.count() <= BROADCAST_BUCKETS:
+        wanted = F.broadcast(wanted)
     counted = v.join(wanted, _same(v, wanted, [*by, "_b"]))
     counted = counted.groupBy(*by, "_b", "_base", "_count", "_v").agg(F.count("*").alias("_n"))
     to = F.col("_base") + F.sum("_n").over(Window.partitionBy(*by, "_b").orderBy("_v"))
